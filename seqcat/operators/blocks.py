@@ -1,0 +1,107 @@
+"""Exact per-group ranks that survive a hot group.
+
+A plain ``Window.partitionBy(g).orderBy(v)`` puts every row of a group in one
+task, and hash aggregates such as ``percentile_disc``/``mode`` keep one map of
+all distinct values per group.  If one group holds a third of the data, both
+become a single straggler task (or an out-of-memory map).
+
+Here each row also gets an order-preserving *block* number from global
+approximate quantiles of the order value (one small broadcast row per value
+column).  Block sizes are counted per ``(group, block)``, turned into running
+offsets with a tiny window (at most ``n_blocks`` rows per group), and the exact
+rank inside a block is a window over ``(group, block)``.  A hot group is so
+spread over ``n_blocks`` tasks, and every step is a shuffle aggregate, a join
+or a spillable window: nothing is collected.
+"""
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from seqcat import config as C
+from seqcat.operators._join import null_safe_join
+
+BLOCK = "_blk"
+OFFSET = "_off"
+TOTAL = "_n"
+
+
+def orderable_double(df: DataFrame, name: str):
+    """A double that never decreases when ``name`` increases, or None if the type has no such map."""
+    dt = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                       T.DecimalType)):
+        return c.cast("double")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return None
+
+
+def with_value_blocks(df: DataFrame, value: str, *, bound_keys=(), n_blocks: int = C.RANK_BLOCKS,
+                      accuracy: int = C.RANK_BOUNDS_ACCURACY, descending: bool = False) -> DataFrame:
+    """Add ``_blk``: a block number that is monotone in ``value`` (within each ``bound_keys`` value).
+
+    Bounds are ``n_blocks - 1`` approximate quantiles per ``bound_keys`` value;
+    that table has one row per distinct ``bound_keys`` value (a handful of
+    column names) and is broadcast.  Nulls land in block 0 (they sort first).
+    """
+    v = orderable_double(df, value)
+    if v is None or n_blocks <= 1:
+        return df.withColumn(BLOCK, F.lit(0))
+    probs = [i / n_blocks for i in range(1, n_blocks)]
+    bounds = F.percentile_approx(v, probs, accuracy).alias("_bounds")
+    if bound_keys:
+        table = df.groupBy(*bound_keys).agg(bounds)
+        out = df.join(F.broadcast(table), list(bound_keys), "left")
+    else:
+        out = df.crossJoin(F.broadcast(df.agg(bounds)))
+    block = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= v)), F.lit(0))
+    if descending:
+        block = F.lit(n_blocks) - block
+    return out.withColumn(BLOCK, block).drop("_bounds")
+
+
+def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None) -> DataFrame:
+    """Add ``_off`` (weight of all earlier blocks of the group) and ``_n`` (group total)."""
+    group_keys = list(group_keys)
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    sizes = df.groupBy(*group_keys, BLOCK).agg(size.alias("_bn"))
+    running = Window.partitionBy(*group_keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding,
+                                                                         Window.currentRow)
+    offsets = sizes.select(
+        *group_keys, BLOCK,
+        (F.sum("_bn").over(running) - F.col("_bn")).alias(OFFSET),
+        F.sum("_bn").over(Window.partitionBy(*group_keys)).alias(TOTAL),
+    )
+    return null_safe_join(df, offsets, [*group_keys, BLOCK])
+
+
+def exact_row_number(df: DataFrame, keys, order_cols, *, out: str = "row_number", descending: bool = False,
+                     n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+    """``row_number() over (partition by keys order by order_cols)``, split by value blocks.
+
+    Same numbers as the plain window when ``order_cols`` is a total order
+    inside each group; the first order column drives the blocks.
+    """
+    keys, order_cols = list(keys), list(order_cols)
+    blocked = with_value_blocks(df, order_cols[0], n_blocks=n_blocks, descending=descending)
+    ranked = with_block_offsets(blocked, keys)
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
+    w = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    return ranked.withColumn(out, (F.col(OFFSET) + F.row_number().over(w)).cast("long")).drop(BLOCK, OFFSET, TOTAL)
+
+
+def select_rank_from_histogram(hist: DataFrame, group_keys, value: str, count: str, rank_expr,
+                               *, bound_keys=(), n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+    """From a histogram ``(group_keys, value, count)`` keep, per group, the value whose
+    0-based position in the sorted expansion equals ``rank_expr`` (an expression of ``_n``).
+    """
+    group_keys = list(group_keys)
+    blocked = with_value_blocks(hist, value, bound_keys=bound_keys, n_blocks=n_blocks)
+    ranked = with_block_offsets(blocked, group_keys, weight=count)
+    running = Window.partitionBy(*group_keys, BLOCK).orderBy(value).rowsBetween(Window.unboundedPreceding,
+                                                                                Window.currentRow)
+    ranked = ranked.withColumn("_end", F.col(OFFSET) + F.sum(count).over(running)).withColumn("_k", rank_expr)
+    hit = (F.col("_end") - F.col(count) <= F.col("_k")) & (F.col("_k") < F.col("_end"))
+    return ranked.where(hit).drop(BLOCK, OFFSET, TOTAL, "_end", "_k")
