@@ -165,6 +165,11 @@ LABEL_DOCUMENT_RENAMES = {
 # Order-preserving value blocks used to split one hot group over many tasks
 # in exact per-group ranking (median, row numbers).
 RANK_BLOCKS = 64
+
+# Groups with more rows than this are hot: they leave the single-pass hash
+# aggregates / plain windows (whose per-group state grows with the group) for
+# the block-split path.  At most total_rows / HOT_GROUP_ROWS keys can be hot.
+HOT_GROUP_ROWS = 1_000_000
 RANK_BOUNDS_ACCURACY = 10000
 
 # A dimension is broadcast only when its row count is at most this.

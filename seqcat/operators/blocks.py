@@ -78,13 +78,28 @@ def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None) ->
 
 
 def exact_row_number(df: DataFrame, keys, order_cols, *, out: str = "row_number", descending: bool = False,
-                     n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
-    """``row_number() over (partition by keys order by order_cols)``, split by value blocks.
+                     n_blocks: int = C.RANK_BLOCKS, hot_threshold: int = C.HOT_GROUP_ROWS) -> DataFrame:
+    """``row_number() over (partition by keys order by order_cols)`` that survives hot groups.
 
-    Same numbers as the plain window when ``order_cols`` is a total order
-    inside each group; the first order column drives the blocks.
+    Cold groups use the plain window; groups above ``hot_threshold`` rows are
+    numbered by value blocks.  Same numbers when ``order_cols`` is a total
+    order inside each group; the first order column drives the blocks.
     """
+    from seqcat.operators.skew import hot_key_table, split_hot
+
     keys, order_cols = list(keys), list(order_cols)
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
+    plain = lambda d: d.withColumn(out, F.row_number().over(
+        Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    hot = hot_key_table(df, keys, hot_threshold)
+    if hot is None:
+        return plain(df)
+    cold_df, hot_df = split_hot(df, keys, hot)
+    return plain(cold_df).unionByName(
+        _blocked_row_number(hot_df, keys, order_cols, out=out, descending=descending, n_blocks=n_blocks))
+
+
+def _blocked_row_number(df: DataFrame, keys, order_cols, *, out, descending, n_blocks) -> DataFrame:
     blocked = with_value_blocks(df, order_cols[0], n_blocks=n_blocks, descending=descending)
     ranked = with_block_offsets(blocked, keys)
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]

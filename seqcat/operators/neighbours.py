@@ -19,29 +19,38 @@ def _ms(c):
     return F.round(_col(c).cast("double") * 1000).cast("bigint")
 
 
-def neighbour(df: DataFrame, direction: str = "next", *, id_col: str = "sequence_id",
-              key: str = "src_record_key", offset: str = "time_offset_s", length=None,
-              out: str | None = None) -> DataFrame:
-    """Attach the id of the next (or previous) clip; null when there is none.
-
-    ``length`` is a Column giving the clip length in seconds, evaluated on the
-    candidate row (default: ``clip_seconds(max_frame_count)``).
-    """
-    if direction not in ("next", "prev"):
-        raise ValueError("direction must be 'next' or 'prev'")
+def _candidates(df: DataFrame, direction: str, id_col: str, key: str, offset: str, length, out: str) -> DataFrame:
     step = 1 if direction == "next" else -1
-    out = out or f"{direction}_{id_col}"
-    length = clip_seconds(F.col("max_frame_count")) if length is None else length
-    cand = df.select(
-        F.col(key).alias("_nk"),
-        (_ms(offset) - F.round(length.cast("double") * 1000).cast("bigint") * step).alias("_nms"),
+    return df.select(
+        F.col(key).alias(f"_{out}_k"),
+        (_ms(offset) - F.round(length.cast("double") * 1000).cast("bigint") * step).alias(f"_{out}_ms"),
         F.col(id_col).alias(out),
     )
-    base = df.withColumn("_bms", _ms(offset))
-    joined = base.join(cand, (base[key] == cand["_nk"]) & (base["_bms"] == cand["_nms"]), "left")
-    return joined.drop("_bms", "_nk", "_nms")
 
 
-def neighbours(df: DataFrame, **kw) -> DataFrame:
-    """Both directions: ``next_<id>`` and ``prev_<id>``."""
-    return neighbour(neighbour(df, "next", **kw), "prev", **kw)
+def _attach(base: DataFrame, cand: DataFrame, key: str, out: str) -> DataFrame:
+    cond = (base[key] == cand[f"_{out}_k"]) & (base["_bms"] == cand[f"_{out}_ms"])
+    return base.join(cand, cond, "left").drop(f"_{out}_k", f"_{out}_ms")
+
+
+def neighbours(df: DataFrame, directions=("next", "prev"), *, id_col: str = "sequence_id",
+               key: str = "src_record_key", offset: str = "time_offset_s", length=None) -> DataFrame:
+    """Attach ``<direction>_<id_col>`` for each direction; null when there is none.
+
+    Candidates of every direction come from the original rows.  ``length`` is a
+    Column giving the clip length in seconds, evaluated on the candidate row
+    (default: ``clip_seconds(max_frame_count)``).
+    """
+    length = clip_seconds(F.col("max_frame_count")) if length is None else length
+    out = df.withColumn("_bms", _ms(offset))
+    for direction in directions:
+        if direction not in ("next", "prev"):
+            raise ValueError("direction must be 'next' or 'prev'")
+        name = f"{direction}_{id_col}"
+        out = _attach(out, _candidates(df, direction, id_col, key, offset, length, name), key, name)
+    return out.drop("_bms")
+
+
+def neighbour(df: DataFrame, direction: str = "next", **kw) -> DataFrame:
+    """One direction: ``next_<id>`` or ``prev_<id>``."""
+    return neighbours(df, (direction,), **kw)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from seqcat import config as C
 from seqcat.operators._join import null_safe_join
 from seqcat.operators.blocks import TOTAL, select_rank_from_histogram
+from seqcat.operators.skew import hot_key_table, split_hot
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -63,23 +64,70 @@ def grouped_upper_medians(df: DataFrame, key, cols, n_blocks: int = C.RANK_BLOCK
     return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_col") == c, v)).alias(c) for c in cols])
 
 
-def mode_clean(df: DataFrame, key, col: str, out: str | None = None) -> DataFrame:
+def _single_pass(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col) -> DataFrame:
+    """All roll-ups in one hash aggregate: ``mode`` (deterministic: lowest value on ties) and
+    ``percentile_disc(0.5)`` over descending values (= ``sorted[n // 2]``).  Used for cold
+    groups only, whose per-group state is bounded by the hot threshold."""
+    prep = {}
+    for i, c in enumerate(mode_cols):
+        v = F.col(c).cast("string")
+        prep[f"_mo{i}"] = F.when(~v.isin(list(ignore)), v) if ignore else v
+    for i, c in enumerate(median_cols):
+        v = F.col(c).cast("double")
+        prep[f"_me{i}"] = F.when(~F.isnan(v) & (v != 0.0), v)
+    slim = df.select(*keys, *[e.alias(n) for n, e in prep.items()])
+    aggs = [F.count(F.lit(1)).alias(count_col or "_rows")]
+    aggs += [F.mode(f"_mo{i}", True).alias(c) for i, c in enumerate(mode_cols)]
+    aggs += [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY _me{i} DESC)").alias(c)
+             for i, c in enumerate(median_cols)]
+    out = slim.groupBy(*keys).agg(*aggs)
+    return out if count_col else out.drop("_rows")
+
+
+def _block_path(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col, n_blocks) -> DataFrame:
+    """Histogram/block roll-up for hot groups (never one task or one map per group)."""
+    out = frame_count(df, keys, count_col or "_rows")
+    if mode_cols:
+        out = null_safe_join(out, grouped_modes(df, keys, mode_cols, ignore), keys, "left")
+    if median_cols:
+        out = null_safe_join(out, grouped_upper_medians(df, keys, median_cols, n_blocks), keys, "left")
+    out = out.select(*keys, count_col or "_rows", *mode_cols, *median_cols)
+    return out if count_col else out.drop("_rows")
+
+
+def rollup(df: DataFrame, key, mode_cols=(), median_cols=(), *, ignore=C.MODE_IGNORED,
+           count_col: str | None = "frame_count", hot_threshold: int = C.HOT_GROUP_ROWS,
+           n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+    """Per group: row count, clean mode of ``mode_cols``, upper median of ``median_cols``.
+
+    Groups above ``hot_threshold`` rows are split off (their key list is
+    bounded by rows / threshold) and rolled up by the block path; the rest in
+    one hash aggregate.  Without hot groups the plan is a single shuffle.
+    """
+    keys, mode_cols, median_cols = _keys(key), list(mode_cols), list(median_cols)
+    hot = hot_key_table(df, keys, hot_threshold)
+    if hot is None:
+        return _single_pass(df, keys, mode_cols, median_cols, ignore, count_col)
+    cold_df, hot_df = split_hot(df, keys, hot)
+    cold = _single_pass(cold_df, keys, mode_cols, median_cols, ignore, count_col)
+    return cold.unionByName(_block_path(hot_df, keys, mode_cols, median_cols, ignore, count_col, n_blocks))
+
+
+def mode_clean(df: DataFrame, key, col: str, out: str | None = None, **kw) -> DataFrame:
     """One row per group with the clean mode of ``col``."""
-    base = frame_count(df, key, "_rows").drop("_rows")
-    res = null_safe_join(base, grouped_modes(df, key, [col]), _keys(key), "left")
+    res = rollup(df, key, [col], [], count_col=None, **kw)
     return res.withColumnRenamed(col, out) if out else res
 
 
-def upper_median(df: DataFrame, key, col: str, out: str | None = None) -> DataFrame:
+def upper_median(df: DataFrame, key, col: str, out: str | None = None, **kw) -> DataFrame:
     """One row per group with the upper median of ``col``."""
-    base = frame_count(df, key, "_rows").drop("_rows")
-    res = null_safe_join(base, grouped_upper_medians(df, key, [col]), _keys(key), "left")
+    res = rollup(df, key, [], [col], count_col=None, **kw)
     return res.withColumnRenamed(col, out) if out else res
 
 
 def modes_and_medians(df: DataFrame, key="sequence_id", *, mode_cols=None, median_cols=None,
                       force_mode=C.FORCE_MODE_COLUMNS, exclude=("sequence_frame",),
-                      count_col: str = "frame_count", n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+                      count_col: str = "frame_count", **kw) -> DataFrame:
     """Roll frames up to one row per group: row count, mode of text columns, upper median of numbers.
 
     Defaults: string columns and ``force_mode`` columns -> mode (forced ones are
@@ -95,11 +143,7 @@ def modes_and_medians(df: DataFrame, key="sequence_id", *, mode_cols=None, media
     if median_cols is None:
         median_cols = [f.name for f in fields
                        if isinstance(f.dataType, _NUMERIC) and f.name not in forced and f.name not in mode_cols]
-    out = frame_count(df, keys, count_col)
-    if mode_cols:
-        out = null_safe_join(out, grouped_modes(df, keys, mode_cols), keys, "left")
-    if median_cols:
-        out = null_safe_join(out, grouped_upper_medians(df, keys, median_cols, n_blocks), keys, "left")
+    out = rollup(df, keys, mode_cols, median_cols, count_col=count_col, **kw)
     casts = {c: F.col(c).try_cast("double").try_cast("int") for c in forced if c in mode_cols}
     return out.withColumns(casts) if casts else out
 

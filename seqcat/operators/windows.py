@@ -7,6 +7,7 @@ windows, so a hot key is reduced on the map side.
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqcat.operators._join import null_safe_join
 from seqcat.operators.blocks import exact_row_number
@@ -22,18 +23,23 @@ def version_number(df: DataFrame, key="sequence_id", order_cols=("modified", "fi
     return exact_row_number(df, _keys(key), list(order_cols), out=out)
 
 
+_ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+           T.BinaryType)
+
+
 def latest_per_key(df: DataFrame, key="sequence_id", order_cols=("modified", "filepath")) -> DataFrame:
-    """Keep the newest row per key (largest ``order_cols``; remaining columns break ties).
+    """Keep the newest row per key (largest ``order_cols``; the row's atomic columns break ties).
 
-    One ``max(struct)`` aggregate: partial on the map side, one row per key
-    after the shuffle.  Equals keeping ``row_number() desc == 1``.
+    One ``max_by(row, order)`` aggregate: partial on the map side, one row per
+    key after the shuffle.  Equals keeping ``row_number() desc == 1``.
     """
     keys = _keys(key)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(F.struct(*[F.col(c) for c in order_cols]).alias("o"),
-                      F.struct(*[F.col(c) for c in rest]).alias("p"))
-    latest = df.groupBy(*keys).agg(F.max(packed).alias("_m"))
-    return latest.select(*keys, "_m.p.*").select(*df.columns)
+    ties = [f.name for f in df.schema.fields
+            if f.name not in keys and f.name not in order_cols and isinstance(f.dataType, _ATOMIC)]
+    order = F.struct(*[F.col(c) for c in [*order_cols, *ties]])
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_m"))
+    return latest.select(*keys, "_m.*").select(*df.columns)
 
 
 def potential_dupes(df: DataFrame, id_col: str = "sequence_id", hash_col: str = "md5_hash",
