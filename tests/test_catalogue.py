@@ -92,3 +92,13 @@ def test_incremental_labels_equal_full(spark, built, tmp_path):
     incr = labels_from_documents(docs.where(F.col("file_name") == "p2.json"), old=first)
     cols = ["primary_key", "sequence_id", "x", "y", "width", "height", "download_date"]
     assert sorted(full.select(cols).collect()) == sorted(incr.select(cols).collect())
+
+
+def test_streamed_md5_equals_content_md5(spark, built):
+    paths, _ = built
+    from seqcat.sources.files import file_catalogue
+    pattern = f"{paths['raw']}/*/*/seq_mp4/*"
+    a = {r.sequence_id: r.md5_hash for r in file_catalogue(spark, pattern, with_md5=True).collect()}
+    b = {r.sequence_id: r.md5_hash for r in file_catalogue(spark, pattern, with_md5=True, content_max_bytes=8)
+         .collect()}
+    assert a == b and len(a) == 6 and None not in a.values()
