@@ -131,3 +131,28 @@ def test_boxes(spark):
     assert sorted(row.id for row in u.collect()) == [1, 2, 3]
     assert all(row.width >= 0 and row.height >= 0 for row in u.collect())
     assert "Exchange" not in u._jdf.queryExecution().executedPlan().toString()
+
+
+def test_next_prev_inverse_when_offsets_unique(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("sequence_id"),
+        F.col("l_orderkey").cast("string").alias("src_record_key"), "l_linenumber")
+    li = li.dropDuplicates(["src_record_key", "l_linenumber"]).withColumn(
+        "time_offset_s", F.col("l_linenumber") * 5.0)
+    n = neighbours(li, length=F.lit(5))
+    by_id = {r.sequence_id: r for r in n.collect()}
+    assert len(by_id) == li.count()
+    for r in by_id.values():
+        if r.next_sequence_id is not None:
+            assert by_id[r.next_sequence_id].prev_sequence_id == r.sequence_id
+
+
+def test_dimension_and_global_rows_are_broadcast(spark):
+    from seqcat.operators import dim_lookup, global_averages
+    cu = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    na = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    plan = dim_lookup(cu, na, "c_nationkey", rename={"n_nationkey": "c_nationkey"})._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    g = global_averages(cu, ["c_acctbal"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" in g or "BroadcastExchange" in g
