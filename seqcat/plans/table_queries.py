@@ -542,7 +542,7 @@ def q_split_timestamp(spark, d):
 def q_ingest_date(spark, d):
     o = tbl(spark, d, "orders")
     ms = F.lit(1600000000000) + F.col("o_orderkey") * 1000003
-    return o.select("o_orderkey", ingest_date(ms, unit="ms").alias("ingest_date"))
+    return o.select("o_orderkey", ingest_date(ms, unit="ms", ntz=True).alias("ingest_date"))
 
 
 @register("ts_cast", """SELECT o_orderkey, TRY_CAST(CAST(o_orderdate AS VARCHAR)
@@ -551,7 +551,7 @@ def q_ts_cast(spark, d):
     o = tbl(spark, d, "orders")
     text = F.concat(F.col("o_orderdate").cast("string"),
                     F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(F.lit("")))
-    return o.select("o_orderkey", ts_cast(text).alias("ts"))
+    return o.select("o_orderkey", ts_cast(text, ntz=True).alias("ts"))
 
 
 # ---------------------------------------------------------------------------
