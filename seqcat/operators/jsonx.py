@@ -20,16 +20,14 @@ def _ddl_from_variant_schema(s: str) -> str:
     return s.replace("VARIANT", "STRING")
 
 
-def infer_json_schema(df: DataFrame, col: str) -> T.DataType:
-    """Merged schema of every JSON document in ``col`` (one distributed aggregate).
+def infer_json_schema(df: DataFrame, col: str) -> str:
+    """Merged schema (DDL text) of every JSON document in ``col`` (one distributed aggregate).
 
     Fields seen in any document are kept; fractional numbers become double.
     For files prefer a declared schema or ``spark.read.json(paths).schema``.
     """
     ddl = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
-    if ddl is None:
-        return T.StructType([])
-    return T._parse_datatype_string(_ddl_from_variant_schema(ddl))
+    return "STRUCT<>" if ddl is None else _ddl_from_variant_schema(ddl)
 
 
 def parse_json(df: DataFrame, col: str, schema=None, out: str | None = None, options: dict | None = None) -> DataFrame:
