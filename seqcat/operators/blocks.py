@@ -6,8 +6,8 @@ all distinct values per group.  If one group holds a third of the data, both
 become a single straggler task (or an out-of-memory map).
 
 Here each row also gets an order-preserving *block* number from global
-approximate quantiles of the order value (one small broadcast row per value
-column).  Block sizes are counted per ``(group, block)``, turned into running
+approximate quantiles of the order value (at most ``n_blocks - 1`` numbers per
+value column, compiled into a binary-search ``CASE``).  Block sizes are counted per ``(group, block)``, turned into running
 offsets with a tiny window (at most ``n_blocks`` rows per group), and the exact
 rank inside a block is a window over ``(group, block)``.  A hot group is so
 spread over ``n_blocks`` tasks, and every step is a shuffle aggregate, a join
@@ -38,28 +38,49 @@ def orderable_double(df: DataFrame, name: str):
     return None
 
 
+def _search(v, bounds):
+    """Number of ``bounds`` (sorted) that are <= ``v``, as a balanced CASE tree (log2 compares, codegen)."""
+    def rec(lo, hi):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(v >= F.lit(bounds[mid - 1]), rec(mid, hi)).otherwise(rec(lo, mid - 1))
+    return rec(0, len(bounds))
+
+
 def with_value_blocks(df: DataFrame, value: str, *, bound_keys=(), n_blocks: int = C.RANK_BLOCKS,
                       accuracy: int = C.RANK_BOUNDS_ACCURACY, descending: bool = False) -> DataFrame:
     """Add ``_blk``: a block number that is monotone in ``value`` (within each ``bound_keys`` value).
 
-    Bounds are ``n_blocks - 1`` approximate quantiles per ``bound_keys`` value;
-    that table has one row per distinct ``bound_keys`` value (a handful of
-    column names) and is broadcast.  Nulls land in block 0 (they sort first).
+    Bounds are ``n_blocks - 1`` approximate quantiles per ``bound_keys`` value
+    (one small aggregate job; at most ``n_blocks - 1`` numbers per value, e.g.
+    per unpivoted column), turned into a balanced ``CASE WHEN`` search so the
+    block costs about log2(n_blocks) compiled comparisons per row.  Nulls land
+    in block 0 (they sort first).
     """
     v = orderable_double(df, value)
     if v is None or n_blocks <= 1:
         return df.withColumn(BLOCK, F.lit(0))
     probs = [i / n_blocks for i in range(1, n_blocks)]
     bounds = F.percentile_approx(v, probs, accuracy).alias("_bounds")
-    if bound_keys:
-        table = df.groupBy(*bound_keys).agg(bounds)
-        out = df.join(F.broadcast(table), list(bound_keys), "left")
-    else:
-        out = df.crossJoin(F.broadcast(df.agg(bounds)))
-    block = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= v)), F.lit(0))
+    keys = list(bound_keys)
+    rows = df.groupBy(*keys).agg(bounds).collect() if keys else [df.agg(bounds).first()]
+    block = None
+    for row in rows:
+        cuts = sorted(set(b for b in (row["_bounds"] or []) if b is not None))
+        expr = _search(v, cuts)
+        if not keys:
+            block = expr
+            continue
+        cond = None
+        for k in keys:
+            part = F.col(k).eqNullSafe(F.lit(row[k]))
+            cond = part if cond is None else cond & part
+        block = F.when(cond, expr) if block is None else block.when(cond, expr)
+    block = F.coalesce(block if block is not None else F.lit(0), F.lit(0))
     if descending:
         block = F.lit(n_blocks) - block
-    return out.withColumn(BLOCK, block).drop("_bounds")
+    return df.withColumn(BLOCK, block)
 
 
 def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None) -> DataFrame:
