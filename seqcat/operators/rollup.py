@@ -151,10 +151,12 @@ def modes_and_medians(df: DataFrame, key="sequence_id", *, mode_cols=None, media
 def global_averages(df: DataFrame, cols=C.GLOBAL_AVERAGE_COLUMNS, prefix: str = "global_average_") -> DataFrame:
     """Attach the average of each column over all rows to every row.
 
-    The aggregate is exactly one row, so broadcasting it is size-safe.
+    The averages are one partial-aggregated row (its size does not grow with
+    the data); it is fetched and attached as literals, so the row plan stays a
+    projection (no join, no constant-key shuffle).
     """
-    agg = df.agg(*[F.avg(c).alias(prefix + c) for c in cols])
-    return df.crossJoin(F.broadcast(agg))
+    agg = df.agg(*[F.avg(c).alias(prefix + c) for c in cols]).first()
+    return df.withColumns({prefix + c: F.lit(agg[prefix + c]).cast("double") for c in cols})
 
 
 def max_per_group(df: DataFrame, group: str, col: str, out: str) -> DataFrame:

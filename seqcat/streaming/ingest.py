@@ -6,6 +6,7 @@ lost executor only re-runs its tasks (the sink commit is transactional).
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seqcat.operators.windows import latest_per_key
 
@@ -48,8 +49,8 @@ def stream_latest(spark: SparkSession, source: str, schema, sink: str, checkpoin
     def merge(batch: DataFrame, epoch_id: int) -> None:
         sess = batch.sparkSession
         fresh = latest_per_key(batch, keys, order_cols)
-        try:
-            stored = sess.read.parquet(sink).drop("epoch")
+        try:  # earlier epochs only: a replayed batch never reads the folder it rewrites
+            stored = sess.read.parquet(sink).where(F.col("epoch") < epoch_id).drop("epoch")
         except Exception:  # nothing committed yet
             stored = None
         if stored is not None:
