@@ -48,3 +48,21 @@ def test_sort_catalogue_order(spark):
     got = [(r.o_orderdate, r.o_orderkey) for r in sort_catalogue(o, [("o_orderdate", False), ("o_orderkey", True)])
            .collect()]
     assert got == sorted(got, key=lambda t: (-t[0].timestamp(), t[1]))
+
+
+def test_text_file_stream_whole_documents(spark, tmp_path):
+    import json
+
+    from pyspark.sql import types as T
+
+    from seqcat.operators import parse_json
+    src = tmp_path / "docs"
+    src.mkdir()
+    for i in range(3):
+        (src / f"d{i}.json").write_text(json.dumps({"k": i, "name": f"n{i}"}, indent=2))
+    sink, ckpt = scratch_dir(spark, "txt-sink"), scratch_dir(spark, "txt-ckpt")
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    for _ in range(2):  # second run: nothing new
+        stream_ingest(spark, str(src), schema, sink, ckpt, fmt="text", options={"wholetext": "true"})
+    docs = parse_json(spark.read.parquet(sink), "value", "k BIGINT, name STRING").select("value.*")
+    assert sorted(tuple(r) for r in docs.collect()) == [(0, "n0"), (1, "n1"), (2, "n2")]
