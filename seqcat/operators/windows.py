@@ -27,19 +27,24 @@ _ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampTy
            T.BinaryType)
 
 
+def latest_row_agg(df: DataFrame, key, order_cols):
+    """``(keys, aggregate)``: ``max_by(row, order)`` where the row's atomic columns break ties."""
+    keys = _keys(key)
+    rest = [c for c in df.columns if c not in keys]
+    ties = [f.name for f in df.schema.fields
+            if f.name not in keys and f.name not in order_cols and isinstance(f.dataType, _ATOMIC)]
+    order = F.struct(*[F.col(c) for c in [*order_cols, *ties]])
+    return keys, F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_m")
+
+
 def latest_per_key(df: DataFrame, key="sequence_id", order_cols=("modified", "filepath")) -> DataFrame:
     """Keep the newest row per key (largest ``order_cols``; the row's atomic columns break ties).
 
     One ``max_by(row, order)`` aggregate: partial on the map side, one row per
     key after the shuffle.  Equals keeping ``row_number() desc == 1``.
     """
-    keys = _keys(key)
-    rest = [c for c in df.columns if c not in keys]
-    ties = [f.name for f in df.schema.fields
-            if f.name not in keys and f.name not in order_cols and isinstance(f.dataType, _ATOMIC)]
-    order = F.struct(*[F.col(c) for c in [*order_cols, *ties]])
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_m"))
-    return latest.select(*keys, "_m.*").select(*df.columns)
+    keys, agg = latest_row_agg(df, key, order_cols)
+    return df.groupBy(*keys).agg(agg).select(*keys, "_m.*").select(*df.columns)
 
 
 def potential_dupes(df: DataFrame, id_col: str = "sequence_id", hash_col: str = "md5_hash",

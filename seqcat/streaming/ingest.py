@@ -6,9 +6,8 @@ lost executor only re-runs its tasks (the sink commit is transactional).
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from seqcat.operators.windows import latest_per_key
+from seqcat.operators.windows import latest_per_key, latest_row_agg
 
 
 def stream_ingest(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, *, fmt: str = "parquet",
@@ -40,28 +39,19 @@ def stream_latest(spark: SparkSession, source: str, schema, sink: str, checkpoin
                   fmt: str = "parquet") -> None:
     """Keep the newest row per key over an incremental feed.
 
-    Each micro-batch is merged with the stored rows of the keys it touches and
-    the winners are written to ``<sink>/epoch=<id>`` (overwritten on replay, so
-    a retried batch is idempotent).  ``read_latest`` resolves the state.
+    A streaming ``groupBy(key).agg(max_by(row, order))`` in update mode: the
+    state store (checkpointed with the query) holds one bounded buffer per key,
+    so no micro-batch re-reads stored rows.  Each epoch writes the rows of the
+    keys it changed to ``<sink>/epoch=<id>`` (overwritten on replay, so a retried
+    batch is idempotent); ``read_latest`` resolves the current state.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        sess = batch.sparkSession
-        fresh = latest_per_key(batch, keys, order_cols)
-        try:  # earlier epochs only: a replayed batch never reads the folder it rewrites
-            stored = sess.read.parquet(sink).where(F.col("epoch") < epoch_id).drop("epoch")
-        except Exception:  # nothing committed yet
-            stored = None
-        if stored is not None:
-            touched = stored.join(fresh.select(*keys), keys, "left_semi")
-            fresh = latest_per_key(touched.unionByName(fresh), keys, order_cols)
-        fresh.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
-
     stream = spark.readStream.format(fmt).schema(schema).load(source)
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    keys, agg = latest_row_agg(stream, key, order_cols)
+    latest = stream.groupBy(*keys).agg(agg).select(*keys, "_m.*").select(*stream.columns)
 
+    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
 
-__all__ = ["stream_ingest", "stream_latest", "read_latest"]
+    q = (latest.writeStream.outputMode("update").foreachBatch(write_epoch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
