@@ -170,7 +170,7 @@ RANK_BLOCKS = 64
 # aggregates / plain windows (whose per-group state grows with the group) for
 # the block-split path.  At most total_rows / HOT_GROUP_ROWS keys can be hot.
 HOT_GROUP_ROWS = 1_000_000
-RANK_BOUNDS_ACCURACY = 10000
+RANK_BOUNDS_ACCURACY = 1000
 
 # A dimension is broadcast only when its row count is at most this.
 BROADCAST_MAX_ROWS = 1_000_000

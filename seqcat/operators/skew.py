@@ -27,8 +27,27 @@ def hot_key_table(df: DataFrame, keys, threshold: int) -> DataFrame | None:
     return df.sparkSession.createDataFrame(hot, schema)
 
 
+# Up to this many hot keys (single key column) the split is an ``IN`` predicate
+# pushed into the scan instead of a broadcast semi/anti join.
+INLINE_KEYS_MAX = 1000
+
+
 def split_hot(df: DataFrame, keys, hot: DataFrame):
-    """``(cold_rows, hot_rows)`` of ``df`` by a broadcast semi/anti join on the hot keys (null-safe)."""
+    """``(cold_rows, hot_rows)`` of ``df`` by the hot keys (null-safe).
+
+    A short single-column key list becomes an ``IN`` predicate; otherwise a
+    broadcast semi/anti join (the list is bounded by rows / threshold).
+    """
     keys = list(keys)
+    if len(keys) == 1:
+        values = [r[0] for r in hot.limit(INLINE_KEYS_MAX + 1).collect()]
+        if len(values) <= INLINE_KEYS_MAX:
+            k = F.col(keys[0])
+            present = [v for v in values if v is not None]
+            is_hot = k.isin(present) if present else F.lit(False)
+            if len(present) < len(values):
+                is_hot = is_hot | k.isNull()
+            is_hot = F.coalesce(is_hot, F.lit(False))
+            return df.where(~is_hot), df.where(is_hot)
     small = F.broadcast(hot)
     return null_safe_join(df, small, keys, "left_anti"), null_safe_join(df, small, keys, "left_semi")
