@@ -9,12 +9,16 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (local tests)
-    a temporary folder is created and registered as the checkpoint dir.
+    The setting is read from the session.  Only in local mode, when it is
+    unset (tests), a temporary folder is created and registered as the
+    checkpoint dir; on a cluster a machine-local folder would not be shared,
+    so an unset setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="seqcat-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
