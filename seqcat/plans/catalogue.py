@@ -35,11 +35,13 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     merged = merge_catalogue(sequence_table(sequence_documents(spark, raw_root), seq_schema),
                              stage_read(spark, paths["telemetry"]), still_files(spark, raw_root),
                              video_files(spark, raw_root))
-    stage_write(split(enrich(merged)), paths["sequences"])
+    # batch folders (partition pruning); rows inside keep the recording/offset order of the clustering
+    sequences = split(enrich(merged)).sortWithinPartitions("batch", "src_record_key", "time_offset_s")
+    stage_write(sequences, paths["sequences"], partition_by="batch")
 
     ontology = dim_read(spark, ontology_csv, schemas.ONTOLOGY)
     stage_write(label_table(labels_from_documents(label_documents(spark, label_folder)), ontology), paths["labels"])
 
     final = sequences_with_labels(stage_read(spark, paths["sequences"]), stage_read(spark, paths["labels"]))
-    stage_write(final, paths["catalogue"])
+    stage_write(final, paths["catalogue"], partition_by="batch")
     return paths

@@ -102,3 +102,11 @@ def test_streamed_md5_equals_content_md5(spark, built):
     b = {r.sequence_id: r.md5_hash for r in file_catalogue(spark, pattern, with_md5=True, content_max_bytes=8)
          .collect()}
     assert a == b and len(a) == 6 and None not in a.values()
+
+
+def test_catalogue_partitioned_by_batch(built):
+    _, t = built
+    seqs = t["sequences"]
+    plan = seqs.where(F.col("batch") == "no-such-batch")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan
+    assert seqs.where(F.col("batch").contains("EDGE")).count() == 2
