@@ -55,6 +55,8 @@ def potential_dupes(df: DataFrame, id_col: str = "sequence_id", hash_col: str =
     of them.  Null hashes are nobody's duplicate (both columns null).  The
     member list itself is the hash group (join on ``hash_col``); it is not
     materialised per row, which would grow with the square of a group.
+    ``df`` is read by three branches: pass a stored table (e.g. the video
+    catalogue), not a plan that recomputes the hashes.
     """
     pairs = df.where(F.col(hash_col).isNotNull()).select(hash_col, id_col).distinct()
     first = pairs.groupBy(hash_col).agg(F.count(F.lit(1)).alias("_cnt"), F.min(id_col).alias("_m1"))

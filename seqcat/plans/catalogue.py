@@ -22,19 +22,26 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
                     *, seq_schema=None) -> dict:
     """Build the frame, sequence, label and final tables under ``out_root``; return their paths.
 
-    Intermediate tables are written and read back (cutting lineage; a lost
-    executor re-runs only its own stage).
+    Intermediate tables are written and read back: this cuts lineage (a lost
+    executor re-runs only its own stage) and keeps costly inputs, such as the
+    video bytes behind the md5, from being read again by every branch of a
+    later plan.
     """
     out = out_root.rstrip("/")
-    paths = {k: f"{out}/{k}" for k in ("frames", "telemetry", "sequences", "labels", "catalogue")}
+    paths = {k: f"{out}/{k}" for k in ("videos", "stills", "frames", "telemetry", "sequences", "labels",
+                                       "catalogue")}
+
+    # file catalogues first: one small row per file, so the video bytes are read (hashed) exactly once
+    stage_write(video_files(spark, raw_root), paths["videos"])
+    stage_write(still_files(spark, raw_root), paths["stills"])
 
     stage_write(frames_from_documents(telemetry_documents(spark, raw_root)), paths["frames"],
                 partition_by="batch_path")
     stage_write(sequences_from_frames(stage_read(spark, paths["frames"])), paths["telemetry"])
 
     merged = merge_catalogue(sequence_table(sequence_documents(spark, raw_root), seq_schema),
-                             stage_read(spark, paths["telemetry"]), still_files(spark, raw_root),
-                             video_files(spark, raw_root))
+                             stage_read(spark, paths["telemetry"]), stage_read(spark, paths["stills"]),
+                             stage_read(spark, paths["videos"]))
     # batch folders (partition pruning); rows inside keep the recording/offset order of the clustering
     sequences = split(enrich(merged)).sortWithinPartitions("batch", "src_record_key", "time_offset_s")
     stage_write(sequences, paths["sequences"], partition_by="batch")
