@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 from seqcat import schemas
 from seqcat.plans.annotations import label_table, labels_from_documents, sequences_with_labels
 from seqcat.plans.sequences import enrich, merge_catalogue, sequence_table, split
-from seqcat.plans.telemetry import frames_from_documents, sequences_from_frames
+from seqcat.plans.telemetry import flat_frames, frames_with_context, sequences_from_frames
 from seqcat.sources import (
     dim_read,
     label_documents,
@@ -28,22 +28,27 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     later plan.
     """
     out = out_root.rstrip("/")
-    paths = {k: f"{out}/{k}" for k in ("videos", "stills", "frames", "telemetry", "sequences", "labels",
-                                       "catalogue")}
+    paths = {k: f"{out}/{k}" for k in ("videos", "stills", "frames_flat", "frames", "telemetry", "merged",
+                                       "sequences", "labels", "catalogue")}
 
     # file catalogues first: one small row per file, so the video bytes are read (hashed) exactly once
     stage_write(video_files(spark, raw_root), paths["videos"])
     stage_write(still_files(spark, raw_root), paths["stills"])
 
-    stage_write(frames_from_documents(telemetry_documents(spark, raw_root)), paths["frames"],
+    # JSON parsed once; start/end values and global averages read the stored frames
+    stage_write(flat_frames(telemetry_documents(spark, raw_root)), paths["frames_flat"])
+    stage_write(frames_with_context(stage_read(spark, paths["frames_flat"])), paths["frames"],
                 partition_by="batch_path")
     stage_write(sequences_from_frames(stage_read(spark, paths["frames"])), paths["telemetry"])
 
     merged = merge_catalogue(sequence_table(sequence_documents(spark, raw_root), seq_schema),
                              stage_read(spark, paths["telemetry"]), stage_read(spark, paths["stills"]),
                              stage_read(spark, paths["videos"]))
+    # stored: enrich reads it five times (per-batch max and both neighbour sides)
+    stage_write(merged, paths["merged"])
     # batch folders (partition pruning); rows inside keep the recording/offset order of the clustering
-    sequences = split(enrich(merged)).sortWithinPartitions("batch", "src_record_key", "time_offset_s")
+    sequences = split(enrich(stage_read(spark, paths["merged"]))).sortWithinPartitions(
+        "batch", "src_record_key", "time_offset_s")
     stage_write(sequences, paths["sequences"], partition_by="batch")
 
     ontology = dim_read(spark, ontology_csv, schemas.ONTOLOGY)
