@@ -34,14 +34,9 @@ def keep_latest_version_rows(df: DataFrame, key: str = "sequence_id", order=_ORD
     return null_safe_join(df, newest, [key, *order], "left_semi")
 
 
-def labels_from_documents(docs: DataFrame, old: DataFrame | None = None, schema=schemas.LABEL_DOCUMENT,
-                          key_cols=("sequence_id", "frame")) -> DataFrame:
-    """Annotation rows (one per object, track annotation and frame) with uniform boxes.
-
-    With ``old`` rows, versions are ranked over old ∪ new, so a sequence keeps
-    only its newest document's rows.  ``key_cols`` builds ``primary_key``
-    (add ``object_id`` for a key per object).
-    """
+def annotation_rows(docs: DataFrame, schema=schemas.LABEL_DOCUMENT, key_cols=("sequence_id", "frame")) -> DataFrame:
+    """Annotation rows (one per object, track annotation and frame) of the newest document per
+    sequence, before boxes (every annotation type still present)."""
     parsed = parse_json(docs, "src_json", schema, out="_doc")
     doc = rename_label_document(parsed.select("filepath", "modified", "filesize_bytes", "_doc.*"))
     tasks = keep_latest_label(explode_tasks(doc))
@@ -49,8 +44,23 @@ def labels_from_documents(docs: DataFrame, old: DataFrame | None = None, schema=
     tasks = const_cols(tasks, {"labeling_fps": C.LABELING_FPS, "legacy": C.LABEL_LEGACY,
                                "label_source": C.LABEL_SOURCE})
     rows = explode_annotations(explode_objects(tasks))
-    rows = first_label(rows.withColumn("primary_key", label_primary_key(*key_cols)))
-    rows = bbox_union(rows).withColumn("traits", F.to_json("traits"))
+    return first_label(rows.withColumn("primary_key", label_primary_key(*key_cols)))
+
+
+def rejected_annotations(rows: DataFrame) -> DataFrame:
+    """Annotations whose type is neither rectangle nor polygon (``bbox_union`` drops them)."""
+    return rows.where(~F.coalesce(F.col("type").isin(C.ANNOTATION_RECT, C.ANNOTATION_POLYGON), F.lit(False)))
+
+
+def labels_from_documents(docs: DataFrame, old: DataFrame | None = None, schema=schemas.LABEL_DOCUMENT,
+                          key_cols=("sequence_id", "frame")) -> DataFrame:
+    """Annotation rows with uniform boxes (types other than rectangle and polygon are dropped).
+
+    With ``old`` rows, versions are ranked over old ∪ new, so a sequence keeps
+    only its newest document's rows.  ``key_cols`` builds ``primary_key``
+    (add ``object_id`` for a key per object).
+    """
+    rows = bbox_union(annotation_rows(docs, schema, key_cols)).withColumn("traits", F.to_json("traits"))
     if old is not None:
         rows = keep_latest_version_rows(append_union(old, rows))
     return rows

@@ -3,7 +3,13 @@
 from pyspark.sql import SparkSession
 
 from seqcat import schemas
-from seqcat.plans.annotations import label_table, labels_from_documents, sequences_with_labels
+from seqcat.plans.annotations import (
+    annotation_rows,
+    label_table,
+    labels_from_documents,
+    rejected_annotations,
+    sequences_with_labels,
+)
 from seqcat.plans.sequences import enrich, merge_catalogue, sequence_table, split
 from seqcat.plans.telemetry import flat_frames, frames_with_context, sequences_from_frames
 from seqcat.sources import (
@@ -20,7 +26,8 @@ from seqcat.sources import (
 
 def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontology_csv: str, out_root: str,
                     *, seq_schema=None) -> dict:
-    """Build the frame, sequence, label and final tables under ``out_root``; return their paths.
+    """Build the frame, sequence, label and final tables under ``out_root``; return their paths
+    and ``rejected_annotations`` (annotations of other types, which carry no box).
 
     Intermediate tables are written and read back: this cuts lineage (a lost
     executor re-runs only its own stage) and keeps costly inputs, such as the
@@ -52,8 +59,10 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     stage_write(sequences, paths["sequences"], partition_by="batch")
 
     ontology = dim_read(spark, ontology_csv, schemas.ONTOLOGY)
-    stage_write(label_table(labels_from_documents(label_documents(spark, label_folder)), ontology), paths["labels"])
+    docs = label_documents(spark, label_folder)
+    stage_write(label_table(labels_from_documents(docs), ontology), paths["labels"])
+    report = {"rejected_annotations": rejected_annotations(annotation_rows(docs)).count()}
 
     final = sequences_with_labels(stage_read(spark, paths["sequences"]), stage_read(spark, paths["labels"]))
     stage_write(final, paths["catalogue"], partition_by="batch")
-    return paths
+    return {**paths, **report}

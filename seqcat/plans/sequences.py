@@ -26,9 +26,13 @@ def sequence_table(seq_docs: DataFrame, schema=None) -> DataFrame:
 
 
 def merge_catalogue(seq: DataFrame, parsed_frames: DataFrame, stills: DataFrame, videos: DataFrame,
-                    allowed_sources=C.ALLOWED_DATA_SOURCES) -> DataFrame:
+                    allowed_sources=C.ALLOWED_DATA_SOURCES, fps_as_int: bool = False) -> DataFrame:
     """One row per sequence: description ⟕ telemetry summary ⟕ newest stills ⟕ newest video (with
-    duplicate-content facts); sizes summed, dimensions filled from siblings, counts coalesced."""
+    duplicate-content facts); sizes summed, dimensions filled from siblings, counts coalesced.
+
+    ``fps_as_int=True`` truncates the stream's own ``fps`` to an integer before it
+    serves as the fallback frame rate (the original behaviour); by default the
+    fraction is kept."""
     base = prefix_cols(latest_per_key(seq, "sequence_id", _LATEST), "seq_metadata", drop_modified=False)
     frames = prefix_cols(parsed_frames, "mapp_metadata")
     jpegs = prefix_cols(latest_per_key(stills, "sequence_id", _LATEST), "jpegs")
@@ -36,6 +40,8 @@ def merge_catalogue(seq: DataFrame, parsed_frames: DataFrame, stills: DataFrame,
     mp4s = prefix_cols(mp4s.drop("md5_hash"), "mp4s")
     df = merge_sources(base, [frames, jpegs, mp4s], "sequence_id")
     df = sum_matching_cols(df)
+    if fps_as_int and "fps" in df.columns:
+        df = df.withColumn("fps", F.col("fps").try_cast("double").try_cast("int"))
     df = fill_from_group(df, "src_record_key", ["width", "height"])
     df = coalesce_counts(recast_cols(df))
     df = df.withColumn("ingest_date", ingest_date("modified")).drop("modified")

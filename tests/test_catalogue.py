@@ -17,6 +17,7 @@ def built(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("tree"))
     paths = write_tree(root)
     out = build_catalogue(spark, paths["raw"], paths["labels"], paths["ontology"], os.path.join(root, "out"))
+    assert out.pop("rejected_annotations") == 1  # the one annotation of an unknown type
     return paths, {k: stage_read(spark, v) for k, v in out.items()}
 
 
