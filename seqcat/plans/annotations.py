@@ -62,6 +62,11 @@ def labels_from_documents(docs: DataFrame, old: DataFrame | None = None, schema=
     """
     rows = bbox_union(annotation_rows(docs, schema, key_cols)).withColumn("traits", F.to_json("traits"))
     if old is not None:
+        # versions continue after the highest stored version of the sequence
+        prev = old.groupBy("sequence_id").agg(F.max("label_version").alias("_prev_version"))
+        rows = rows.join(prev, "sequence_id", "left").withColumn(
+            "label_version", F.col("label_version") + F.coalesce(F.col("_prev_version"), F.lit(0))).drop(
+            "_prev_version")
         rows = keep_latest_version_rows(append_union(old, rows))
     return rows
 

@@ -91,7 +91,7 @@ def test_incremental_labels_equal_full(spark, built, tmp_path):
     full = labels_from_documents(docs)
     first = labels_from_documents(docs.where(F.col("file_name") == "p1.json"))
     incr = labels_from_documents(docs.where(F.col("file_name") == "p2.json"), old=first)
-    cols = ["primary_key", "sequence_id", "x", "y", "width", "height", "download_date"]
+    cols = ["primary_key", "sequence_id", "x", "y", "width", "height", "download_date", "label_version"]
     assert sorted(full.select(cols).collect()) == sorted(incr.select(cols).collect())
 
 
