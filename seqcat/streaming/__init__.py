@@ -1,5 +1,5 @@
 """Incremental ingest with Structured Streaming (file sources, exactly-once per file)."""
 
-from seqcat.streaming.ingest import read_latest, stream_ingest, stream_latest
+from seqcat.streaming.ingest import compact_latest, read_latest, stream_ingest, stream_latest
 
-__all__ = ["read_latest", "stream_ingest", "stream_latest"]
+__all__ = ["compact_latest", "read_latest", "stream_ingest", "stream_latest"]

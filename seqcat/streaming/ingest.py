@@ -35,6 +35,12 @@ def read_latest(spark: SparkSession, sink: str, key, order_cols) -> DataFrame:
     return latest_per_key(stored, key, order_cols)
 
 
+def compact_latest(spark: SparkSession, sink: str, out: str, key, order_cols) -> None:
+    """Fold every committed epoch of a ``stream_latest`` sink into one Parquet table at ``out``
+    (one row per key), so readers no longer resolve epochs."""
+    read_latest(spark, sink, key, order_cols).write.mode("overwrite").parquet(out)
+
+
 def stream_latest(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, *, key, order_cols,
                   fmt: str = "parquet") -> None:
     """Keep the newest row per key over an incremental feed.

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from seqcat.operators import cluster_by_key, latest_per_key, sort_catalogue
 from seqcat.session import scratch_dir
-from seqcat.streaming import read_latest, stream_ingest, stream_latest
+from seqcat.streaming import compact_latest, read_latest, stream_ingest, stream_latest
 from tests.conftest import SF_SMALL
 
 
@@ -32,6 +32,9 @@ def test_stream_latest_equals_batch_and_is_idempotent(spark):
     got = read_latest(spark, sink, "user_id", ["ts", "event_id"])
     want = latest_per_key(ev, "user_id", ["ts", "event_id"])
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    compacted = scratch_dir(spark, "l-compact")
+    compact_latest(spark, sink, compacted, "user_id", ["ts", "event_id"])
+    assert spark.read.parquet(compacted).exceptAll(want).count() == 0
 
 
 def test_cluster_by_key_layout(spark):
