@@ -158,3 +158,17 @@ def test_dimension_and_global_rows_are_broadcast(spark):
     assert "Join" not in g._jdf.queryExecution().executedPlan().toString()
     avg = cu.agg(F.avg("c_acctbal")).first()[0]
     assert {r.global_average_c_acctbal for r in g.collect()} == {avg}
+
+
+def test_hot_path_two_keys_and_descending(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "event_type", "ts", "value")
+    keys = ["user_id", "event_type"]
+    cold = modes_and_medians(ev.drop("event_id", "ts"), keys)
+    hot = modes_and_medians(ev.drop("event_id", "ts"), keys, hot_threshold=1, n_blocks=3)
+    assert _sorted(cold) == _sorted(hot)
+    a = exact_row_number(ev, keys, ["ts", "event_id"], out="r", descending=True)
+    b = exact_row_number(ev, keys, ["ts", "event_id"], out="r", descending=True, hot_threshold=2, n_blocks=4)
+    assert _sorted(a) == _sorted(b)
+    first = {(r.user_id, r.event_type): r.event_id for r in a.where("r = 1").collect()}
+    want = {(r.user_id, r.event_type): r.event_id for r in latest_per_key(ev, keys, ["ts", "event_id"]).collect()}
+    assert first == want
