@@ -170,6 +170,10 @@ RANK_BLOCKS = 64
 # aggregates / plain windows (whose per-group state grows with the group) for
 # the block-split path.  At most total_rows / HOT_GROUP_ROWS keys can be hot.
 HOT_GROUP_ROWS = 1_000_000
+
+# With at most this many hot groups, block bounds are computed per hot group
+# (each hot group is split evenly); with more, per value column.
+PER_GROUP_BOUNDS_MAX = 16
 RANK_BOUNDS_ACCURACY = 1000
 
 # A dimension is broadcast only when its row count is at most this.

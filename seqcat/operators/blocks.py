@@ -116,12 +116,15 @@ def exact_row_number(df: DataFrame, keys, order_cols, *, out: str = "row_number"
     if hot is None:
         return plain(df)
     cold_df, hot_df = split_hot(df, keys, hot)
-    return plain(cold_df).unionByName(
-        _blocked_row_number(hot_df, keys, order_cols, out=out, descending=descending, n_blocks=n_blocks))
+    few = hot.limit(C.PER_GROUP_BOUNDS_MAX + 1).count() <= C.PER_GROUP_BOUNDS_MAX
+    return plain(cold_df).unionByName(_blocked_row_number(
+        hot_df, keys, order_cols, out=out, descending=descending, n_blocks=n_blocks, per_group=few))
 
 
-def _blocked_row_number(df: DataFrame, keys, order_cols, *, out, descending, n_blocks) -> DataFrame:
-    blocked = with_value_blocks(df, order_cols[0], n_blocks=n_blocks, descending=descending)
+def _blocked_row_number(df: DataFrame, keys, order_cols, *, out, descending, n_blocks,
+                        per_group: bool = False) -> DataFrame:
+    blocked = with_value_blocks(df, order_cols[0], bound_keys=keys if per_group else (), n_blocks=n_blocks,
+                                descending=descending)
     ranked = with_block_offsets(blocked, keys)
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = Window.partitionBy(*keys, BLOCK).orderBy(*order)

@@ -49,18 +49,22 @@ def grouped_modes(df: DataFrame, key, cols, ignore=C.MODE_IGNORED) -> DataFrame:
     return hist.groupBy(*keys).agg(*[F.min(F.when(F.col("_col") == c, best)).getField("v").alias(c) for c in cols])
 
 
-def grouped_upper_medians(df: DataFrame, key, cols, n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+def grouped_upper_medians(df: DataFrame, key, cols, n_blocks: int = C.RANK_BLOCKS,
+                          bounds_per_group: bool = False) -> DataFrame:
     """Upper median per group of each column: ``sorted(v)[n // 2]`` over values that are not null, NaN or 0.
 
-    No interpolation (``F.median`` would interpolate).
+    No interpolation (``F.median`` would interpolate).  ``bounds_per_group``
+    computes block bounds per (group, column) instead of per column: use it
+    only when ``df`` holds few groups (e.g. the hot ones).
     """
     keys, cols = _keys(key), list(cols)
     long = _long(df, keys, cols, "double")
     v = F.col("_v")
     hist = (long.where(v.isNotNull() & ~F.isnan(v) & (v != 0.0))
             .groupBy(*keys, "_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    bound_keys = [*keys, "_col"] if bounds_per_group else ["_col"]
     picked = select_rank_from_histogram(hist, [*keys, "_col"], "_v", "_c", F.floor(F.col(TOTAL) / 2),
-                                        bound_keys=["_col"], n_blocks=n_blocks)
+                                        bound_keys=bound_keys, n_blocks=n_blocks)
     return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_col") == c, v)).alias(c) for c in cols])
 
 
@@ -84,13 +88,14 @@ def _single_pass(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col)
     return out if count_col else out.drop("_rows")
 
 
-def _block_path(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col, n_blocks) -> DataFrame:
+def _block_path(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col, n_blocks,
+                per_group: bool = False) -> DataFrame:
     """Histogram/block roll-up for hot groups (never one task or one map per group)."""
     out = frame_count(df, keys, count_col or "_rows")
     if mode_cols:
         out = null_safe_join(out, grouped_modes(df, keys, mode_cols, ignore), keys, "left")
     if median_cols:
-        out = null_safe_join(out, grouped_upper_medians(df, keys, median_cols, n_blocks), keys, "left")
+        out = null_safe_join(out, grouped_upper_medians(df, keys, median_cols, n_blocks, per_group), keys, "left")
     out = out.select(*keys, count_col or "_rows", *mode_cols, *median_cols)
     return out if count_col else out.drop("_rows")
 
@@ -110,7 +115,8 @@ def rollup(df: DataFrame, key, mode_cols=(), median_cols=(), *, ignore=C.MODE_IG
         return _single_pass(df, keys, mode_cols, median_cols, ignore, count_col)
     cold_df, hot_df = split_hot(df, keys, hot)
     cold = _single_pass(cold_df, keys, mode_cols, median_cols, ignore, count_col)
-    return cold.unionByName(_block_path(hot_df, keys, mode_cols, median_cols, ignore, count_col, n_blocks))
+    few = hot.limit(C.PER_GROUP_BOUNDS_MAX + 1).count() <= C.PER_GROUP_BOUNDS_MAX
+    return cold.unionByName(_block_path(hot_df, keys, mode_cols, median_cols, ignore, count_col, n_blocks, few))
 
 
 def mode_clean(df: DataFrame, key, col: str, out: str | None = None, **kw) -> DataFrame:
