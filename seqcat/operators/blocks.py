@@ -83,8 +83,12 @@ def with_value_blocks(df: DataFrame, value: str, *, bound_keys=(), n_blocks: int
     return df.withColumn(BLOCK, block)
 
 
-def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None) -> DataFrame:
-    """Add ``_off`` (weight of all earlier blocks of the group) and ``_n`` (group total)."""
+def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None, broadcast: bool = False) -> DataFrame:
+    """Add ``_off`` (weight of all earlier blocks of the group) and ``_n`` (group total).
+
+    The offsets table has one row per (group, block).  ``broadcast=True`` is for
+    few groups (at most groups x ``n_blocks`` rows); otherwise AQE decides.
+    """
     group_keys = list(group_keys)
     size = F.sum(weight) if weight else F.count(F.lit(1))
     sizes = df.groupBy(*group_keys, BLOCK).agg(size.alias("_bn"))
@@ -95,7 +99,7 @@ def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None) ->
         (F.sum("_bn").over(running) - F.col("_bn")).alias(OFFSET),
         F.sum("_bn").over(Window.partitionBy(*group_keys)).alias(TOTAL),
     )
-    return null_safe_join(df, offsets, [*group_keys, BLOCK])
+    return null_safe_join(df, F.broadcast(offsets) if broadcast else offsets, [*group_keys, BLOCK])
 
 
 def exact_row_number(df: DataFrame, keys, order_cols, *, out: str = "row_number", descending: bool = False,
@@ -125,20 +129,21 @@ def _blocked_row_number(df: DataFrame, keys, order_cols, *, out, descending, n_b
                         per_group: bool = False) -> DataFrame:
     blocked = with_value_blocks(df, order_cols[0], bound_keys=keys if per_group else (), n_blocks=n_blocks,
                                 descending=descending)
-    ranked = with_block_offsets(blocked, keys)
+    ranked = with_block_offsets(blocked, keys, broadcast=per_group)
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     return ranked.withColumn(out, (F.col(OFFSET) + F.row_number().over(w)).cast("long")).drop(BLOCK, OFFSET, TOTAL)
 
 
 def select_rank_from_histogram(hist: DataFrame, group_keys, value: str, count: str, rank_expr,
-                               *, bound_keys=(), n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+                               *, bound_keys=(), n_blocks: int = C.RANK_BLOCKS,
+                               broadcast_offsets: bool = False) -> DataFrame:
     """From a histogram ``(group_keys, value, count)`` keep, per group, the value whose
     0-based position in the sorted expansion equals ``rank_expr`` (an expression of ``_n``).
     """
     group_keys = list(group_keys)
     blocked = with_value_blocks(hist, value, bound_keys=bound_keys, n_blocks=n_blocks)
-    ranked = with_block_offsets(blocked, group_keys, weight=count)
+    ranked = with_block_offsets(blocked, group_keys, weight=count, broadcast=broadcast_offsets)
     running = Window.partitionBy(*group_keys, BLOCK).orderBy(value).rowsBetween(Window.unboundedPreceding,
                                                                                 Window.currentRow)
     ranked = ranked.withColumn("_end", F.col(OFFSET) + F.sum(count).over(running)).withColumn("_k", rank_expr)

@@ -64,7 +64,8 @@ def grouped_upper_medians(df: DataFrame, key, cols, n_blocks: int = C.RANK_BLOCK
             .groupBy(*keys, "_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
     bound_keys = [*keys, "_col"] if bounds_per_group else ["_col"]
     picked = select_rank_from_histogram(hist, [*keys, "_col"], "_v", "_c", F.floor(F.col(TOTAL) / 2),
-                                        bound_keys=bound_keys, n_blocks=n_blocks)
+                                        bound_keys=bound_keys, n_blocks=n_blocks,
+                                        broadcast_offsets=bounds_per_group)
     return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_col") == c, v)).alias(c) for c in cols])
 
 
