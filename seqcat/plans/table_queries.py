@@ -92,7 +92,15 @@ from seqcat.operators import (
 )
 from seqcat.plans._sqlgen import case_buckets, case_rules
 from seqcat.session import scratch_dir
-from seqcat.sources import dim_read, file_catalogue, first_file_per_dir, json_documents, stage_read, stage_write
+from seqcat.sources import (
+    dim_read,
+    export_csv,
+    file_catalogue,
+    first_file_per_dir,
+    json_documents,
+    stage_read,
+    stage_write,
+)
 from seqcat.streaming import read_latest, stream_ingest, stream_latest
 
 # The driver runs the oracle side at this scale folder.
@@ -712,6 +720,16 @@ def q_stage_read(spark, d):
     return stage_read(spark, f"{d.rstrip('/')}/customer.parquet", src.schema)
 
 
+@register("export_csv", """SELECT event_id, ts,
+  CAST(to_json({'user_id': user_id, 'event_type': event_type}) AS VARCHAR) AS info FROM events""")
+def q_export_csv(spark, d):
+    path = scratch_dir(spark, "export-csv")
+    ev = tbl(spark, d, "events").select("event_id", "ts", F.struct("user_id", "event_type").alias("info"))
+    export_csv(ev, path)
+    return spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, info STRING").option("header", "true") \
+        .option("timestampNTZFormat", JSON_OPTIONS["timestampNTZFormat"]).csv(path)
+
+
 @register("dim_read", "SELECT * FROM nation")
 def q_dim_read(spark, d):
     path = scratch_dir(spark, "dim-csv")

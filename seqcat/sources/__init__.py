@@ -10,9 +10,9 @@ from seqcat.sources.files import (
     telemetry_documents,
     video_files,
 )
-from seqcat.sources.tables import dim_read, stage_read, stage_write
+from seqcat.sources.tables import dim_read, export_csv, stage_read, stage_write
 
 __all__ = [
     "file_catalogue", "first_file_per_dir", "json_documents", "label_documents", "sequence_documents",
-    "still_files", "telemetry_documents", "video_files", "dim_read", "stage_read", "stage_write",
+    "still_files", "telemetry_documents", "video_files", "dim_read", "export_csv", "stage_read", "stage_write",
 ]
