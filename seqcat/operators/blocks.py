@@ -5,13 +5,15 @@ task, and hash aggregates such as ``percentile_disc``/``mode`` keep one map of
 all distinct values per group.  If one group holds a third of the data, both
 become a single straggler task (or an out-of-memory map).
 
-Here each row also gets an order-preserving *block* number from global
-approximate quantiles of the order value (at most ``n_blocks - 1`` numbers per
-value column, compiled into a binary-search ``CASE``).  Block sizes are counted per ``(group, block)``, turned into running
-offsets with a tiny window (at most ``n_blocks`` rows per group), and the exact
-rank inside a block is a window over ``(group, block)``.  A hot group is so
-spread over ``n_blocks`` tasks, and every step is a shuffle aggregate, a join
-or a spillable window: nothing is collected.
+Here each row also gets an order-preserving *block* number from approximate
+quantiles of the order value (at most ``n_blocks - 1`` numbers per value
+column or per hot group, compiled into a binary-search ``CASE``).  Block sizes
+are counted per ``(group, block)`` and turned into running offsets with a tiny
+window (at most ``n_blocks`` rows per group); the exact rank inside a block is
+a window over ``(group, block)``.  A hot group is so spread over ``n_blocks``
+tasks.  Every step is a shuffle aggregate, a join or a spillable window; only
+the block bounds (a few numbers) reach the driver, never a group's rows.
+Callers (``rollup``, ``exact_row_number``) send only hot groups this way.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -33,8 +35,14 @@ def orderable_double(df: DataFrame, name: str):
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                        T.DecimalType)):
         return c.cast("double")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        # wall-clock fields only: a session time zone (DST gaps) must not reorder values
+        secs = F.extract(F.lit("SECOND"), c).cast("double")
+        return (F.unix_date(F.to_date(c)) * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + secs)
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("double")
     return None
 
 
