@@ -172,3 +172,16 @@ def test_hot_path_two_keys_and_descending(spark):
     first = {(r.user_id, r.event_type): r.event_id for r in a.where("r = 1").collect()}
     want = {(r.user_id, r.event_type): r.event_id for r in latest_per_key(ev, keys, ["ts", "event_id"]).collect()}
     assert first == want
+
+
+def test_blocked_ranks_across_dst_gap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("""SELECT 'g' AS k, i, timestampadd(MINUTE, i * 7, TIMESTAMP_NTZ'2024-03-10 01:00:00') AS t
+                          FROM range(60) AS r(i)""")
+        a = exact_row_number(df, ["k"], ["t", "i"], out="r")
+        b = exact_row_number(df, ["k"], ["t", "i"], out="r", hot_threshold=1, n_blocks=8)
+        assert _sorted(a) == _sorted(b)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
