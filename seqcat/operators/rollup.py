@@ -14,6 +14,7 @@ from seqcat import config as C
 from seqcat.operators._join import null_safe_join
 from seqcat.operators.blocks import TOTAL, select_rank_from_histogram
 from seqcat.operators.skew import hot_key_table, split_hot
+from seqcat.session import ensure_checkpoint_dir
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -50,18 +51,23 @@ def grouped_modes(df: DataFrame, key, cols, ignore=C.MODE_IGNORED) -> DataFrame:
 
 
 def grouped_upper_medians(df: DataFrame, key, cols, n_blocks: int = C.RANK_BLOCKS,
-                          bounds_per_group: bool = False) -> DataFrame:
+                          bounds_per_group: bool = False, checkpoint: bool = True) -> DataFrame:
     """Upper median per group of each column: ``sorted(v)[n // 2]`` over values that are not null, NaN or 0.
 
     No interpolation (``F.median`` would interpolate).  ``bounds_per_group``
     computes block bounds per (group, column) instead of per column: use it
-    only when ``df`` holds few groups (e.g. the hot ones).
+    only when ``df`` holds few groups (e.g. the hot ones).  The histogram feeds
+    both the bounds job and the ranking, so by default it is checkpointed once
+    (to the shared checkpoint folder, which also cuts its lineage).
     """
     keys, cols = _keys(key), list(cols)
     long = _long(df, keys, cols, "double")
     v = F.col("_v")
     hist = (long.where(v.isNotNull() & ~F.isnan(v) & (v != 0.0))
             .groupBy(*keys, "_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        hist = hist.checkpoint()
     bound_keys = [*keys, "_col"] if bounds_per_group else ["_col"]
     picked = select_rank_from_histogram(hist, [*keys, "_col"], "_v", "_c", F.floor(F.col(TOTAL) / 2),
                                         bound_keys=bound_keys, n_blocks=n_blocks,

@@ -25,6 +25,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/seqcat/{name}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` usable: the cluster's ``spark.checkpoint.dir`` is picked up by
+    Spark itself; only an unset setting in local mode gets a temporary folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        root = scratch_dir(spark, "checkpoints")
+        spark.sparkContext.setCheckpointDir(root)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "seqcat") -> SparkSession:
     """A ``local[cores]`` session configured like the tests and the benchmark."""
     spark = (
