@@ -91,6 +91,66 @@ def with_value_blocks(df: DataFrame, value: str, *, bound_keys=(), n_blocks: int
     return df.withColumn(BLOCK, block)
 
 
+def with_tie_split_blocks(df: DataFrame, value: str, tie_value: str, *, bound_keys=(),
+                          n_blocks: int = C.RANK_BLOCKS, accuracy: int = C.RANK_BOUNDS_ACCURACY,
+                          descending: bool = False) -> DataFrame:
+    """Like ``with_value_blocks`` on ``(value, tie_value)`` in lexicographic order.
+
+    A *heavy* value of ``value`` (one that repeats among the quantile bounds,
+    i.e. holds more than a block's share of rows) gets sub-blocks from the
+    quantiles of ``tie_value`` among its rows; rows just above it in the same
+    block take the last sub-slot.  ``_blk = block * slots + sub`` keeps the
+    order, so a huge tie is still spread over tasks.
+    """
+    v, v2 = orderable_double(df, value), orderable_double(df, tie_value)
+    if v is None or v2 is None or n_blocks <= 1:
+        return with_value_blocks(df, value, bound_keys=bound_keys, n_blocks=n_blocks, accuracy=accuracy,
+                                 descending=descending)
+    keys = list(bound_keys)
+    probs = [i / n_blocks for i in range(1, n_blocks)]
+    rows = df.groupBy(*keys).agg(F.percentile_approx(v, probs, accuracy).alias("_b")).collect()
+    slots = n_blocks + 1  # sub-blocks 0..n_blocks-1 for a heavy value, n_blocks for "above it"
+    heavy_of = {}
+    for row in rows:
+        raw = [b for b in (row["_b"] or []) if b is not None]
+        heavy_of[tuple(row[k] for k in keys)] = (sorted(set(raw)), sorted({b for b in raw if raw.count(b) > 1}))
+    pairs = [(g, h) for g, (_, hs) in heavy_of.items() for h in hs]
+    sub_cuts = {}
+    if pairs:
+        cond = None
+        for g, h in pairs:
+            part = v == F.lit(h)
+            for k, gv in zip(keys, g):
+                part = part & F.col(k).eqNullSafe(F.lit(gv))
+            cond = part if cond is None else cond | part
+        sub_rows = (df.where(cond).groupBy(*keys, v.alias("_h"))
+                    .agg(F.percentile_approx(v2, probs, accuracy).alias("_b")).collect())
+        for r in sub_rows:
+            sub_cuts[(tuple(r[k] for k in keys), r["_h"])] = sorted({b for b in (r["_b"] or []) if b is not None})
+    block = None
+    for g, (cuts, heavy) in heavy_of.items():
+        b1 = _search(v, cuts)
+        sub = None
+        for h in heavy:
+            inner = _search(v2, sub_cuts.get((g, h), []))
+            above = (b1 == F.lit(cuts.index(h) + 1)) & (v > F.lit(h))
+            sub = (F.when(v == F.lit(h), inner) if sub is None else sub.when(v == F.lit(h), inner)) \
+                .when(above, F.lit(slots - 1))
+        expr = b1 * slots + (sub.otherwise(F.lit(0)) if sub is not None else F.lit(0))
+        if not keys:
+            block = expr
+            continue
+        gcond = None
+        for k, gv in zip(keys, g):
+            part = F.col(k).eqNullSafe(F.lit(gv))
+            gcond = part if gcond is None else gcond & part
+        block = F.when(gcond, expr) if block is None else block.when(gcond, expr)
+    block = F.coalesce(block if block is not None else F.lit(0), F.lit(0))
+    if descending:
+        block = F.lit((n_blocks + 1) * slots) - block
+    return df.withColumn(BLOCK, block)
+
+
 def with_block_offsets(df: DataFrame, group_keys, weight: str | None = None, broadcast: bool = False) -> DataFrame:
     """Add ``_off`` (weight of all earlier blocks of the group) and ``_n`` (group total).
 
@@ -135,8 +195,13 @@ def exact_row_number(df: DataFrame, keys, order_cols, *, out: str = "row_number"
 
 def _blocked_row_number(df: DataFrame, keys, order_cols, *, out, descending, n_blocks,
                         per_group: bool = False) -> DataFrame:
-    blocked = with_value_blocks(df, order_cols[0], bound_keys=keys if per_group else (), n_blocks=n_blocks,
-                                descending=descending)
+    bound_keys = keys if per_group else ()
+    if len(order_cols) > 1:
+        blocked = with_tie_split_blocks(df, order_cols[0], order_cols[1], bound_keys=bound_keys,
+                                        n_blocks=n_blocks, descending=descending)
+    else:
+        blocked = with_value_blocks(df, order_cols[0], bound_keys=bound_keys, n_blocks=n_blocks,
+                                    descending=descending)
     ranked = with_block_offsets(blocked, keys, broadcast=per_group)
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = Window.partitionBy(*keys, BLOCK).orderBy(*order)

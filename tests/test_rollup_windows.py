@@ -185,3 +185,17 @@ def test_blocked_ranks_across_dst_gap(spark):
         assert _sorted(a) == _sorted(b)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_blocked_ranks_split_a_huge_tie(spark):
+    from seqcat.operators.blocks import BLOCK, with_tie_split_blocks
+    # 70% of the rows share one timestamp: the tie must be split by the second order column
+    df = spark.sql("""SELECT 'g' AS k, i, CASE WHEN i % 10 < 7 THEN TIMESTAMP_NTZ'2024-01-01 00:00:00'
+                      ELSE timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-01 00:00:00') END AS t FROM range(2000) AS r(i)""")
+    for desc in (False, True):
+        a = exact_row_number(df, ["k"], ["t", "i"], out="r", descending=desc)
+        b = exact_row_number(df, ["k"], ["t", "i"], out="r", descending=desc, hot_threshold=10, n_blocks=8)
+        assert _sorted(a) == _sorted(b)
+    blocks = with_tie_split_blocks(df, "t", "i", bound_keys=["k"], n_blocks=8)
+    tied = blocks.where(F.col("t") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    assert tied.select(BLOCK).distinct().count() >= 4
