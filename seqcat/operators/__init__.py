@@ -53,4 +53,4 @@ from seqcat.operators.rollup import (
     upper_median,
 )
 from seqcat.operators.telemetry import derive_frame_cols, derive_gsd, derive_telemetry
-from seqcat.operators.windows import fill_from_group, latest_per_key, potential_dupes, version_number
+from seqcat.operators.windows import dupe_members, fill_from_group, latest_per_key, potential_dupes, version_number

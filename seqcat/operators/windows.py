@@ -71,6 +71,18 @@ def potential_dupes(df: DataFrame, id_col: str = "sequence_id", hash_col: str =
             .select(*df.columns, count_out, first_out))
 
 
+def dupe_members(df: DataFrame, id_col: str = "sequence_id", hash_col: str = "md5_hash") -> DataFrame:
+    """``(hash, id)`` for every id whose content hash is shared with another id.
+
+    The exact member lists behind ``potential_dupes``, one row per member
+    (linear in the data, never all pairs); join on ``hash_col`` to list a
+    clip's duplicates.
+    """
+    pairs = df.where(F.col(hash_col).isNotNull()).select(hash_col, id_col).distinct()
+    shared = pairs.groupBy(hash_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(hash_col)
+    return pairs.join(shared, hash_col, "left_semi")
+
+
 def fill_from_group(df: DataFrame, key: str = "src_record_key", names=("width", "height"),
                     pix_suffix: str = "_pix", drop_pix: bool = True) -> DataFrame:
     """Fill ``<name>`` from ``<name><pix_suffix>``, then from the max of either over the key's group.

@@ -54,6 +54,7 @@ from seqcat.operators import (
     derive_telemetry,
     dim_lookup,
     distinct_rows,
+    dupe_members,
     expand_json,
     explode_annotations,
     explode_frames,
@@ -410,6 +411,14 @@ def q_potential_dupes(spark, d):
     return potential_dupes(docs, "doc_id", "md5_hash")
 
 
+@register("dupe_members", """
+WITH p AS (SELECT DISTINCT md5(text) AS md5_hash, doc_id FROM documents WHERE text IS NOT NULL)
+SELECT md5_hash, doc_id FROM p WHERE md5_hash IN (SELECT md5_hash FROM p GROUP BY md5_hash HAVING count(*) > 1)""")
+def q_dupe_members(spark, d):
+    docs = tbl(spark, d, "documents").select("doc_id", F.md5("text").alias("md5_hash"))
+    return dupe_members(docs, "doc_id", "md5_hash")
+
+
 @register("distinct_rows", "SELECT DISTINCT text, lang, source FROM documents")
 def q_distinct_rows(spark, d):
     return distinct_rows(tbl(spark, d, "documents").select("text", "lang", "source"))

@@ -199,3 +199,10 @@ def test_blocked_ranks_split_a_huge_tie(spark):
     blocks = with_tie_split_blocks(df, "t", "i", bound_keys=["k"], n_blocks=8)
     tied = blocks.where(F.col("t") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     assert tied.select(BLOCK).distinct().count() >= 4
+
+
+def test_dupe_members(spark):
+    from seqcat.operators import dupe_members
+    df = spark.createDataFrame([("s1", "m"), ("s2", "m"), ("s2", "m"), ("s3", None), ("s5", "z")],
+                               "sequence_id string, md5_hash string")
+    assert sorted(tuple(r) for r in dupe_members(df).collect()) == [("m", "s1"), ("m", "s2")]
