@@ -1128,5 +1128,6 @@ def q_stream_latest(spark, d):
     sink, ckpt = scratch_dir(spark, "latest-sink"), scratch_dir(spark, "latest-ckpt")
     for i in range(3):
         slices[i].write.mode("append").parquet(src)
-        stream_latest(spark, src, schema, sink, ckpt, key="user_id", order_cols=["ts", "event_id"])
+        stream_latest(spark, src, schema, sink, ckpt, key="user_id", order_cols=["ts", "event_id"],
+                      state_partitions=spark.sparkContext.defaultParallelism)
     return read_latest(spark, sink, "user_id", ["ts", "event_id"])

@@ -42,7 +42,7 @@ def compact_latest(spark: SparkSession, sink: str, out: str, key, order_cols) ->
 
 
 def stream_latest(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, *, key, order_cols,
-                  fmt: str = "parquet") -> None:
+                  fmt: str = "parquet", state_partitions: int | None = None) -> None:
     """Keep the newest row per key over an incremental feed.
 
     A streaming ``groupBy(key).agg(max_by(row, order))`` in update mode: the
@@ -50,6 +50,10 @@ def stream_latest(spark: SparkSession, source: str, schema, sink: str, checkpoin
     so no micro-batch re-reads stored rows.  Each epoch writes the rows of the
     keys it changed to ``<sink>/epoch=<id>`` (overwritten on replay, so a retried
     batch is idempotent); ``read_latest`` resolves the current state.
+
+    ``state_partitions`` sets the number of state-store partitions when the
+    checkpoint is created (Spark keeps that number for the life of the
+    checkpoint); by default the session's ``spark.sql.shuffle.partitions``.
     """
     stream = spark.readStream.format(fmt).schema(schema).load(source)
     keys, agg = latest_row_agg(stream, key, order_cols)
@@ -58,6 +62,15 @@ def stream_latest(spark: SparkSession, source: str, schema, sink: str, checkpoin
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
 
-    q = (latest.writeStream.outputMode("update").foreachBatch(write_epoch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = (latest.writeStream.outputMode("update").foreachBatch(write_epoch)
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    if state_partitions is None:
+        q = writer.start()
+    else:  # only read when the query starts; restored right after
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            q = writer.start()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
