@@ -31,7 +31,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.op7_token_counts(spark, table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return token_counts.op7_token_counts(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
