@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqcat.llm import chat, decontaminate, exact_dedup, mixing, sharding, token_counts
+from seqcat.llm import near_dedup, chat, decontaminate, exact_dedup, mixing, sharding, token_counts
 from seqcat.llm.common import table
 
 
@@ -38,5 +38,9 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op8_chat(spark, table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat)}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.op9_near_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup)}
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op8_chat": chat.ORACLE}
