@@ -30,10 +30,27 @@ LIMIT = 512
 #: No pre-token crosses a single space between two characters that are no white space.
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 _ODD_SPACE = re.compile(r"\s | \s|^ | $")
+#: The splitter's published pattern over characters whose classes are beyond doubt; the library cuts the rest.
+_LETTER, _PLAIN = "A-Za-zÀ-ÖØ-öø-ÿ", re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def byte_level(word: str) -> str:
+    return word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_LETTERS)
 
 
 class PreTokens:
-    """Pre-tokens of texts by the tokenizer's own splitter, cached by unit (a word with its space)."""
+    """Pre-tokens of texts, cached by unit (a word with the space before it)."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -52,35 +69,44 @@ class PreTokens:
         self.clear()
 
     def clear(self) -> None:
-        self.units: dict[str, tuple[int, tuple[int, ...]]] = {}
+        self.spaced: dict[str, int | tuple] = {}
+        self.units: dict[str, int | tuple] = {}
         self.ids: dict[str, int] = {}
 
-    def _unit(self, unit: str) -> tuple[int, tuple[int, ...]]:
-        """Its number of single-piece pre-tokens, and the ids of the others."""
-        words = [w for w, _ in self.cut(unit)]
-        others = tuple(self.ids.setdefault(w, len(self.ids)) for w in words if w not in self.single)
-        self.units[unit] = found = (len(words) - len(others), others)
-        return found
+    def _unit(self, unit: str) -> int | tuple[int, list[int]]:
+        """-1 for one single-piece pre-token, the id of one other, or (number of single ones, ids of others)."""
+        cut = _SPLIT.findall(unit) if _PLAIN.fullmatch(unit) else [unit[a:b] for _, (a, b) in self.cut(unit)]
+        words = [byte_level(w) for w in cut]
+        others = [self.ids.setdefault(w, len(self.ids)) for w in words if w not in self.single]
+        if len(words) == 1:
+            return others[0] if others else -1
+        return len(words) - len(others), others
 
     def count(self, text: str) -> tuple[int, dict[int, int]]:
         """Tokens that need no look-up, and the frequencies of the other pre-tokens."""
         parts = self.special.split(text)
         total = len(parts) - 1
-        units: Counter[str] = Counter()
+        freq: dict[int, int] = {}
         for part in filter(None, parts):
             if _ODD_SPACE.search(part):
-                units.update(_BOUNDARY.split(part))
+                found = [(self.units, "", Counter(_BOUNDARY.split(part)))]
             else:
                 first, *rest = part.split(" ")
-                units[first] += 1
-                for w, n in Counter(rest).items():
-                    units[" " + w] += n
-        freq: dict[int, int] = {}
-        for unit, n in units.items():
-            single, others = self.units.get(unit) or self._unit(unit)
-            total += single * n
-            for i in others:
-                freq[i] = freq.get(i, 0) + n
+                found = [(self.units, "", {first: 1}), (self.spaced, " ", Counter(rest))]
+            for cache, space, units in found:
+                for unit, n in units.items():
+                    v = cache.get(unit)
+                    if v is None:
+                        v = cache[unit] = self._unit(space + unit)
+                    if v.__class__ is int:
+                        if v < 0:
+                            total += n
+                        else:
+                            freq[v] = freq.get(v, 0) + n
+                    else:
+                        total += v[0] * n
+                        for i in v[1]:
+                            freq[i] = freq.get(i, 0) + n
         return total, freq
 
 
