@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqcat.llm import near_dedup, chat, decontaminate, exact_dedup, mixing, sharding, token_counts
+from seqcat.llm import lm_scoring, near_dedup, chat, decontaminate, exact_dedup, mixing, sharding, token_counts
 from seqcat.llm.common import table
 
 
@@ -42,5 +42,9 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.op9_near_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.op10_lm_scoring(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup, op10_lm_scoring)}
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op8_chat": chat.ORACLE}
