@@ -41,6 +41,22 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
             yield batch.slice(start)
 
 
+def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str], columns: list[str]) -> Iterator[list[list]]:
+    """Rows sorted by ``keys`` -> the columns' values, one group at a time."""
+    last, rows = None, [[] for _ in columns]
+    for b in batches:
+        key_rows = zip(*(b.column(k).to_pylist() for k in keys), strict=True)
+        for key, *row in zip(key_rows, *(b.column(c).to_pylist() for c in columns), strict=True):
+            if key != last:
+                if rows[0]:
+                    yield rows
+                last, rows = key, [[] for _ in columns]
+            for values, x in zip(rows, row, strict=True):
+                values.append(x)
+    if rows[0]:
+        yield rows
+
+
 def space_words(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 bytes; null has none."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

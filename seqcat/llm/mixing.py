@@ -65,8 +65,8 @@ def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST_EPOCHS,
 
 
 def mix(rows: DataFrame, n_blocks: int = N_BLOCKS, **shares) -> DataFrame:
-    """Rows (id, skey, size, weight, u, ...) -> the same with ``source_size``, ``target`` and ``taken`` (words taken, repeats
-    counted).  ``taken / size`` is the number of copies of the row in the mix."""
+    """Rows (id, skey, size, weight, u) -> the same with ``key``, ``source_size``, ``target``, ``epochs`` (complete
+    ones), ``more`` (one copy more) and ``taken`` (words taken, repeats counted)."""
     # the block number is a monotone function of the key: uniform for weight 1
     keyed = rows.withColumn("key", -F.log("u") / F.col("weight"))
     keyed = keyed.withColumn("block", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * n_blocks).cast("int"))
@@ -82,8 +82,8 @@ def mix(rows: DataFrame, n_blocks: int = N_BLOCKS, **shares) -> DataFrame:
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     budget = F.col("target") - epochs * F.col("source_size")
     more = (F.col("start") + F.col("run") + F.col("size") / 2 <= budget) & (budget > 0)
-    return out.select(*rows.columns, "source_size", "target",
-                      ((epochs + more.cast("int")) * F.col("size")).cast("long").alias("taken"))
+    out = out.select(*rows.columns, "key", "source_size", "target", epochs.cast("int").alias("epochs"), more.alias("more"))
+    return out.withColumn("taken", (F.col("epochs") + F.col("more").cast("int")) * F.col("size"))
 
 
 def quality(labels: DataFrame) -> DataFrame:
@@ -103,6 +103,21 @@ def measured(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
                   .select("doc_id", "skey", "size", "weight", "u"), "mix-rows")
 
 
+def mixed_documents(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
+    """The mix itself: every document as often as it is taken, columns unchanged.
+
+    A row's share follows from its own key and its source's epochs and largest key taken, so texts are joined
+    with narrow tables only; rows with that very key (repeats) are all taken.
+    """
+    out = mix(measured(docs, labels, seed))
+    cuts = staged(out.groupBy("skey").agg(F.max("epochs").alias("_epochs"), F.max(F.when(F.col("more"), F.col("key"))).alias("_cut")), "mix-cuts")
+    weights = quality(labels).select(F.col("doc_id").alias("_id"), F.col("weight").alias("_weight"))
+    rows = docs.join(weights, F.col("doc_id") == F.col("_id"), "left").join(cuts, source_key(F.col("source")) == F.col("skey"))
+    key = -F.log(uniform(F.col("doc_id"), F.col("text"), F.lit(seed))) / F.coalesce("_weight", F.lit(1.0))
+    copies = F.col("_epochs") + F.coalesce((key <= F.col("_cut")).cast("int"), F.lit(0))
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+
+
 def op2_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contract columns; quality weights come from the labels table."""
     out = mix(measured(docs, table(spark, sf_dir, "labels")))

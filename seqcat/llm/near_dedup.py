@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqcat.llm.common import slices, space_words, staged
+from seqcat.llm.common import slices, sorted_groups, space_words, staged
 from seqcat.llm.graph import Forest, components
 
 SHINGLE = 5
@@ -116,19 +116,23 @@ def block_pairs(df: DataFrame, n_blocks: Column, by: Column) -> DataFrame:
     return df.withColumn("lo", F.least("_own", "_other")).withColumn("hi", F.greatest("_own", "_other")).drop("_own", "_other")
 
 
-def _rows(found: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(found, columns=["a", "b"])
+def _pairs(found: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch({c: pa.array([f[i] for f in found], pa.binary()) for i, c in enumerate("ab")})
 
 
-def _candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """A spanning forest of the candidate pairs of one posting list (or pair of its blocks)."""
-    nodes = group["node"].tolist()
-    sig = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(len(nodes), -1)
-    forest, found = Forest(len(nodes)), []
-    for i in range(len(nodes) - 1):
-        hits = np.flatnonzero((sig[i + 1:] == sig[i]).sum(axis=1) >= MATCHES) + i + 1
-        found += [(nodes[i], nodes[j]) for j in hits.tolist() if forest.join(i, j)]
-    return _rows(found)
+def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the candidate pairs of each posting list (or pair of its blocks)."""
+    found = []
+    for nodes, sigs in sorted_groups(batches, ["post", "lo", "hi"], ["node", "sig"]):
+        sig = np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(nodes), -1)
+        forest = Forest(len(nodes))
+        for i in range(len(nodes) - 1):
+            hits = np.flatnonzero((sig[i + 1:] == sig[i]).sum(axis=1) >= MATCHES) + i + 1
+            found += [(nodes[i], nodes[j]) for j in hits.tolist() if forest.join(i, j)]
+        if len(found) > 10_000:
+            yield _pairs(found)
+            found = []
+    yield _pairs(found)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -142,21 +146,21 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _confirm(percent: int, group: pd.DataFrame) -> pd.DataFrame:
-    """A spanning forest of the confirmed links of one cluster (or pair of its blocks)."""
-    nodes = group["node"].tolist()
-    sig = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(len(nodes), -1)
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in group["shingles"]]
-    forest, found = Forest(len(nodes)), []
-    # pairs with many collisions first: they are likely links, and linked ends need no further proof
-    for least, most in ((28, COORDINATES), (24, 27), (MATCHES, 23)):
-        for i in range(len(nodes) - 1):
-            same = (sig[i + 1:] == sig[i]).sum(axis=1)
-            for j in (np.flatnonzero((same >= least) & (same <= most)) + i + 1).tolist():
-                if forest.root(i) != forest.root(j) and similar(sets[i], sets[j], percent):
-                    forest.join(i, j)
-                    found.append((nodes[i], nodes[j]))
-    return _rows(found)
+def _confirm(percent: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the confirmed links of each cluster (or pair of its blocks)."""
+    for nodes, sigs, blobs in sorted_groups(batches, ["cluster", "lo", "hi"], ["node", "sig", "shingles"]):
+        sig = np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(nodes), -1)
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in blobs]
+        forest, found = Forest(len(nodes)), []
+        # pairs with many collisions first: they are likely links, and linked ends need no further proof
+        for least, most in ((28, COORDINATES), (24, 27), (MATCHES, 23)):
+            for i in range(len(nodes) - 1):
+                same = (sig[i + 1:] == sig[i]).sum(axis=1)
+                for j in (np.flatnonzero((same >= least) & (same <= most)) + i + 1).tolist():
+                    if forest.root(i) != forest.root(j) and similar(sets[i], sets[j], percent):
+                        forest.join(i, j)
+                        found.append((nodes[i], nodes[j]))
+        yield _pairs(found)
 
 
 def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +186,8 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
         "node", F.explode(F.slice("posts", F.lit(1), F.size("posts") - MATCHES + 1)).alias("p"))
     lists = lists.select("node", "p.post", "p.df").join(nodes, "node")
     lists = block_pairs(lists, F.ceil(F.col("df") / LIST_BLOCK), F.col("node"))
-    return lists.groupBy("post", "lo", "hi").applyInPandas(lambda g: _candidates(g), "a binary, b binary")
+    return (lists.repartition("post", "lo", "hi").sortWithinPartitions("post", "lo", "hi")
+            .mapInArrow(_candidates, "a binary, b binary"))
 
 
 def confirmed_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -195,12 +200,12 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col:
     sets = texts.dropDuplicates(["rid"]).mapInArrow(_sets, "rid long, shingles binary")
     full = members.join(sets, "rid").join(sizes, "cluster").select("cluster", "node", "sig", "shingles", "set_bytes")
     full = block_pairs(full, F.ceil(F.col("set_bytes") / SET_BLOCK), F.col("node"))
-    confirm = partial(_confirm, percent)
-    return full.groupBy("cluster", "lo", "hi").applyInPandas(lambda g: confirm(g), "a binary, b binary")
+    return (full.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
+            .mapInArrow(partial(_confirm, percent), "a binary, b binary"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id reachable), kept."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, rid (hash of id and text), n_shingles, component_id, kept."""
     rows = sketched(docs, id_col, text_col)
     nodes = staged(rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min("rid").alias("rid"), F.first("sig").alias("sig"),
@@ -212,9 +217,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = staged(nodes, "node-components")
     least = nodes.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = nodes.join(least, "component").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    out = rows.select("doc_id", "rid", "n_shingles", "node").join(named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return out.select("doc_id", "rid", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest id reachable), kept."""
+    return grouped(docs, id_col, text_col, percent).drop("rid")
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents that stay, unchanged: rows are told apart by id and text."""
+    gone = grouped(docs, percent=percent).where(~F.col("kept")).select("rid").distinct()
+    rid = F.xxhash64("doc_id", "text")
+    return docs.join(gone, rid == gone["rid"], "left_anti")
 
 
 def op9_near_dedup(docs: DataFrame) -> DataFrame:

@@ -103,17 +103,30 @@ def assigned(rows: DataFrame, sizes: DataFrame, slot_map: DataFrame) -> DataFram
         *rows.columns, "shard", (F.col("start") + F.col("rank")).cast("long").alias("slot"))
 
 
-def shard_documents(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text",
-                    n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
-    """Assign every row to a shard so that the shards' bytes are near equal; the map's versions 1 (as dealt)
-    and 2 (rebalanced) are stored under ``map_path``, a fresh scratch folder by default."""
-    spark = docs.sparkSession
+def balanced_map(rows: DataFrame, n_shards: int, n_slots: int = N_SLOTS, map_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(slot table, slot sizes) for sized rows: versions 1 (as dealt) and 2 (rebalanced) are stored under
+    ``map_path``, a fresh scratch folder by default."""
+    spark = rows.sparkSession
     path = map_path or scratch_dir(spark, "slot-map")
-    rows = staged(sized(docs, id_col, text_col, n_slots), "sized")
     sizes = staged(slot_sizes(rows, n_slots).coalesce(1), "slot-sizes")
     save_map(first_map(spark, n_shards, n_slots), path, 1)
     save_map(rebalanced(load_map(spark, path, 1), sizes, n_shards), path, 2)
-    return assigned(rows, sizes, load_map(spark, path, 2))
+    return load_map(spark, path, 2), sizes
+
+
+def shard_documents(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text",
+                    n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
+    """Assign every row to a shard so that the shards' bytes are near equal: narrow rows with their places."""
+    rows = staged(sized(docs, id_col, text_col, n_slots), "sized")
+    slot_map, sizes = balanced_map(rows, n_shards, n_slots, map_path)
+    return assigned(rows, sizes, slot_map)
+
+
+def with_shards(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS) -> DataFrame:
+    """All columns and ``vslot`` and ``shard`` (replacing columns of that name); texts aren't shuffled."""
+    slot_map, _ = balanced_map(staged(sized(docs, n_slots=n_slots), "sized"), n_shards, n_slots)
+    out = docs.drop("vslot", "shard").withColumn("vslot", virtual_slot(F.col("doc_id"), F.col("text"), n_slots))
+    return out.join(F.broadcast(slot_map), "vslot").select(*docs.drop("vslot", "shard").columns, "vslot", "shard")
 
 
 def op1_sharding(spark: SparkSession, docs: DataFrame) -> DataFrame:
