@@ -49,3 +49,12 @@ class Forest:
         i, j = self.root(i), self.root(j)
         self.up[max(i, j)] = min(i, j)
         return i != j
+
+    def stars(self, nodes: list) -> list[tuple]:
+        """(smallest node, other node) for every tree of two nodes or more."""
+        least: dict = {}
+        for i, x in enumerate(nodes):
+            r = self.root(i)
+            if r not in least or x < least[r]:
+                least[r] = x
+        return [(least[self.root(i)], x) for i, x in enumerate(nodes) if least[self.root(i)] != x]

@@ -9,11 +9,11 @@ least ``MATCHES`` of ``COORDINATES`` values collide:
 * prefix: of its ``s`` values that collide, a node is posted under the ``s - MATCHES + 1`` rarest only; by the
   prefix-filter principle any candidate pair meets there;
 * merge: a posting list counts collisions between its members' whole signatures in blocks, and hands on
-  a spanning forest of its candidate pairs, never all pairs.
+  what hangs together by candidate pairs as a star around its smallest node, never all pairs.
 
 Candidate pairs that hang together form a cluster.  A cluster's full shingle sets meet once; every candidate
-pair whose ends are not linked yet is confirmed by its exact Jaccard similarity, and a spanning forest of
-the confirmed links is handed on.  Long lists and large clusters are dealt out as pairs of blocks, so no task
+pair whose ends are not linked yet is confirmed by its exact Jaccard similarity, and what the confirmed
+links join is handed on as a star again.  Long lists and large clusters are dealt out as pairs of blocks, so no task
 holds more than two blocks.  The components of the confirmed links are those of all links.
 
 With similarity 0.85 a pair has Binomial(32, 0.85) collisions: fewer than 18 with probability below 1e-4.
@@ -121,14 +121,16 @@ def _pairs(found: list[tuple]) -> pa.RecordBatch:
 
 
 def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the candidate pairs of each posting list (or pair of its blocks)."""
+    """The candidate pairs of each posting list (or pair of its blocks), each hanging-together set as a star."""
     found = []
     for nodes, sigs in sorted_groups(batches, ["post", "lo", "hi"], ["node", "sig"]):
         sig = np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(nodes), -1)
         forest = Forest(len(nodes))
         for i in range(len(nodes) - 1):
             hits = np.flatnonzero((sig[i + 1:] == sig[i]).sum(axis=1) >= MATCHES) + i + 1
-            found += [(nodes[i], nodes[j]) for j in hits.tolist() if forest.join(i, j)]
+            for j in hits.tolist():
+                forest.join(i, j)
+        found += forest.stars(nodes)
         if len(found) > 10_000:
             yield _pairs(found)
             found = []
@@ -147,11 +149,11 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _confirm(percent: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the confirmed links of each cluster (or pair of its blocks)."""
+    """The confirmed links of each cluster (or pair of its blocks), each hanging-together set as a star."""
     for nodes, sigs, blobs in sorted_groups(batches, ["cluster", "lo", "hi"], ["node", "sig", "shingles"]):
         sig = np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(nodes), -1)
         sets = [np.frombuffer(x, dtype=np.uint64) for x in blobs]
-        forest, found = Forest(len(nodes)), []
+        forest = Forest(len(nodes))
         # pairs with many collisions first: they are likely links, and linked ends need no further proof
         for least, most in ((28, COORDINATES), (24, 27), (MATCHES, 23)):
             for i in range(len(nodes) - 1):
@@ -159,8 +161,7 @@ def _confirm(percent: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Rec
                 for j in (np.flatnonzero((same >= least) & (same <= most)) + i + 1).tolist():
                     if forest.root(i) != forest.root(j) and similar(sets[i], sets[j], percent):
                         forest.join(i, j)
-                        found.append((nodes[i], nodes[j]))
-        yield _pairs(found)
+        yield _pairs(forest.stars(nodes))
 
 
 def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,7 +176,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): forests of the candidate pairs of nodes (node, sig)."""
+    """(a, b): stars of what candidate pairs of nodes (node, sig) join."""
     values = F.pandas_udf(_values, "v array<long>")
     posts = nodes.select("node", "sig", F.posexplode(values("sig")["v"]).alias("c", "v"))
     posts = posts.select("node", (F.col("c") * F.lit(1 << 32) + F.col("v")).alias("post"))
@@ -192,7 +193,7 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
 
 def confirmed_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT) -> DataFrame:
-    """(a, b): forests of the links that full sets confirm."""
+    """(a, b): stars of what links that full sets confirm join."""
     clusters = components(pairs).withColumnRenamed("component", "cluster")
     members = staged(nodes.join(clusters, "node"), "cluster-members")
     sizes = members.groupBy("cluster").agg(F.sum(8 * F.col("n_shingles") + 200).alias("set_bytes"))
