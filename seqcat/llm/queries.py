@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqcat.llm import toxicity, lm_scoring, near_dedup, chat, decontaminate, exact_dedup, mixing, sharding, token_counts
+from seqcat.llm import substrings, toxicity, lm_scoring, near_dedup, chat, decontaminate, exact_dedup, mixing, sharding, token_counts
 from seqcat.llm.common import table
 
 
@@ -50,5 +50,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op4_toxicity(spark, table(spark, sf_dir, "documents"), sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup, op10_lm_scoring, op4_toxicity)}
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.op6_substring_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup, op10_lm_scoring, op4_toxicity, op6_substring_dedup)}
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op8_chat": chat.ORACLE}
