@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from seqcat.llm.common import held_out, slices, space_words, staged
 from seqcat.llm.near_dedup import WordHashes
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 BUCKET_KEYS = 1 << 21
 K = 5
 TOP = 0.05

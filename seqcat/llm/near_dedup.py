@@ -45,7 +45,7 @@ COORDINATES = 32
 MATCHES = 18
 LIST_BLOCK = 2048  #: nodes of a posting list in a block
 SET_BLOCK = 16 << 20  #: bytes of shingle sets of a cluster in a block
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 19
 
 _FACTORS = (np.random.default_rng(20240607).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
