@@ -26,6 +26,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1 << 20  #: narrow rows (a key and a number) that may be broadcast
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` (stored, narrow) marked for broadcast if it is proven to have at most ``BROADCAST_ROWS`` rows; beyond
+    that Spark joins by shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of each hold ``max_bytes`` at most, or one row does."""

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqcat.llm.common import slices, sorted_groups, space_words, staged
+from seqcat.llm.common import broadcast_if_small, slices, sorted_groups, space_words, staged
 from seqcat.llm.graph import Forest, components
 
 SHINGLE = 5
@@ -197,7 +197,7 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col:
     clusters = components(pairs).withColumnRenamed("component", "cluster")
     members = staged(nodes.join(clusters, "node"), "cluster-members")
     sizes = members.groupBy("cluster").agg(F.sum(8 * F.col("n_shingles") + 200).alias("set_bytes"))
-    texts = _texts(docs, id_col, text_col).select("rid", "text").join(members.select("rid"), "rid", "left_semi")
+    texts = _texts(docs, id_col, text_col).select("rid", "text").join(broadcast_if_small(members.select("rid")), "rid", "left_semi")
     sets = texts.dropDuplicates(["rid"]).mapInArrow(_sets, "rid long, shingles binary")
     full = members.join(sets, "rid").join(sizes, "cluster").select("cluster", "node", "sig", "shingles", "set_bytes")
     full = block_pairs(full, F.ceil(F.col("set_bytes") / SET_BLOCK), F.col("node"))
@@ -230,9 +230,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, unchanged: rows are told apart by id and text."""
-    gone = grouped(docs, percent=percent).where(~F.col("kept")).select("rid").distinct()
-    rid = F.xxhash64("doc_id", "text")
-    return docs.join(gone, rid == gone["rid"], "left_anti")
+    gone = staged(grouped(docs, percent=percent).where(~F.col("kept")).select(F.col("rid").alias("_rid")).distinct(), "gone")
+    return docs.join(broadcast_if_small(gone), F.xxhash64("doc_id", "text") == F.col("_rid"), "left_anti")
 
 
 def op9_near_dedup(docs: DataFrame) -> DataFrame:
