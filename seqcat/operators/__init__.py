@@ -16,6 +16,7 @@ from seqcat.operators.jsonx import (
     to_json_cols,
 )
 from seqcat.operators.labels import (
+    annotation_members,
     annotation_struct,
     explode_annotations,
     explode_objects,

@@ -14,10 +14,18 @@ JSON_OPTIONS = {
 }
 
 
+# A field name (quoted or plain, before a colon) or one of the type names that JSON parsing does not take.
+_DDL_TOKEN = re.compile(r"(?P<name>`(?:[^`]|``)*`|\w+)(?=\s*:)|OBJECT(?=<)|DECIMAL\(\d+,\s*\d+\)|\bVARIANT\b|\bVOID\b")
+
+
 def _ddl_from_variant_schema(s: str) -> str:
-    s = s.replace("OBJECT<", "STRUCT<")
-    s = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", s)
-    return s.replace("VARIANT", "STRING")
+    def token(m):
+        if m["name"] is not None:
+            return m["name"] if m["name"].startswith("`") else f"`{m['name']}`"
+        if m[0] == "OBJECT":
+            return "STRUCT"
+        return "DOUBLE" if m[0].startswith("DECIMAL") else "STRING"
+    return _DDL_TOKEN.sub(token, s)
 
 
 def infer_json_schema(df: DataFrame, col: str) -> str:
@@ -89,6 +97,43 @@ def explode_frames(df: DataFrame, col: str = "src_json", schema=None, *, outer:
     return explode_array(parsed, col, outer=outer)
 
 
+def frame_texts(col: str = "src_json"):
+    """JSON texts of a telemetry document's frames (an array of objects, or one object); null if it is malformed."""
+    return F.coalesce(F.from_json(col, "array<string>"), F.when(_is_object(col), F.array(col)))
+
+
+def _is_object(col: str):
+    """True for the text of a JSON object (bare NaN allowed)."""
+    return F.from_json(col, "map<string,string>").isNotNull()
+
+
+def malformed_documents(docs: DataFrame, col: str = "src_json", *, array: bool = False) -> DataFrame:
+    """Documents whose text is null, no JSON, or neither an object nor (with ``array``) an array: exploding them
+    gives no row, so count these next to the result."""
+    return docs.where(frame_texts(col).isNull() if array else ~_is_object(col))
+
+
+def open_frame_schema(frames: DataFrame, declared: T.StructType, col: str = "src_json",
+                      parts=("feed", "platform")) -> T.StructType:
+    """``declared`` with every further field of ``parts`` that any frame text in ``col`` has (one aggregate over all
+    frames).  Declared types stay; of names that differ in case only, the first stays."""
+    # JSON has no bare NaN, which the documents do use: for the types alone, null stands for it
+    plain = F.regexp_replace(col, r"([:\[,]\s*)[-+]?(?:NaN|Infinity|INF)\b", "$1null")
+    texts = frames.where(F.ltrim(F.col(col)).startswith("{")).select(plain.alias(col))
+    seen = T.DataType.fromDDL(infer_json_schema(texts, col))
+    fields = []
+    for f in declared.fields:
+        extra = _field(seen, f.name) if f.name in parts else None
+        names = {x.lower() for x in f.dataType.fieldNames()} if f.name in parts else set()
+        more = []
+        for x in extra.fields if isinstance(extra, T.StructType) else []:
+            if x.name.lower() not in names:
+                names.add(x.name.lower())
+                more.append(x)
+        fields.append(T.StructField(f.name, T.StructType([*f.dataType.fields, *more])) if more else f)
+    return T.StructType(fields)
+
+
 def _field(schema: T.DataType, path: str):
     for part in path.split("."):
         if not isinstance(schema, T.StructType) or part not in schema.fieldNames():
@@ -114,17 +159,26 @@ def flatten_frame(df: DataFrame, col: str = "src_json", *, lift=("feed", "platfo
     """Flatten one frame struct: ``sequence_frame`` (int), ``all_fields`` (kept nested), every field
     of ``feed``/``platform``, the telemetry fields of ``FRAME_DEEP_FIELDS`` and a null ``area_code``.
 
-    Paths missing from the schema give null columns instead of analysis errors.
+    Paths missing from the schema give null columns instead of analysis errors.  A lifted field whose name is taken
+    gets its parent's name as a prefix; a dot or backtick in a name becomes ``_``.
     """
     st = df.schema[col].dataType
+    taken = {c.lower() for c in (*df.columns, "sequence_frame", "all_fields", "area_code", *FRAME_DEEP_FIELDS)}
     sel = [F.col("*")]
     sel.append((F.col(f"{col}.seq_frame").try_cast("int") if _field(st, "seq_frame") is not None
                 else F.lit(None).cast("int")).alias("sequence_frame"))
     if _field(st, "all_fields") is not None:
         sel.append(F.col(f"{col}.all_fields").alias("all_fields"))
     for s in lift:
-        if isinstance(_field(st, s), T.StructType):
-            sel.append(F.col(f"{col}.{s}.*"))
+        part = _field(st, s)
+        for f in part.fieldNames() if isinstance(part, T.StructType) else []:
+            if f in drop:
+                continue
+            name = re.sub(r"[.`]", "_", f)
+            while name.lower() in taken:
+                name = f"{s}_{name}"
+            taken.add(name.lower())
+            sel.append(F.col(f"{col}.{s}").getField(f).alias(name))
     for name, (path, cast) in FRAME_DEEP_FIELDS.items():
         c = F.col(f"{col}.{path}") if _field(st, path) is not None else F.lit(None)
         sel.append((c.cast(cast) if cast else c).alias(name))

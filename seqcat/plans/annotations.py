@@ -27,19 +27,30 @@ from seqcat.operators.project import const_cols
 _ORDER = ("download_date", "filepath")
 
 
-def keep_latest_version_rows(df: DataFrame, key: str = "sequence_id", order=_ORDER) -> DataFrame:
-    """Keep, per key, only rows of the newest version (max ``order``), e.g. over old ∪ new rows."""
-    newest = df.groupBy(key).agg(F.max(F.struct(*order)).alias("_v")).select(key, *[
-        F.col(f"_v.{c}").alias(c) for c in order])
-    return null_safe_join(df, newest, [key, *order], "left_semi")
+def _tasks(docs: DataFrame, schema) -> DataFrame:
+    parsed = parse_json(docs, "src_json", schema, out="_doc")
+    return explode_tasks(rename_label_document(parsed.select("filepath", "modified", "filesize_bytes", "_doc.*")))
+
+
+def label_tasks(docs: DataFrame, schema=schemas.LABEL_DOCUMENT, key: str = "sequence_id", order=_ORDER) -> DataFrame:
+    """Number of tasks ``n`` per sequence and document, those without annotations included.  Kept as a table, it
+    decides later which document of a sequence is the newest."""
+    return _tasks(docs, schema).groupBy(key, *order).agg(F.count(F.lit(1)).alias("n"))
+
+
+def keep_newest_documents(rows: DataFrame, tasks: DataFrame, key: str = "sequence_id", order=_ORDER) -> DataFrame:
+    """Rows of each sequence's newest document (largest ``order``) among ``tasks``, with its version: the number of
+    tasks.  A newest document without rows leaves the sequence without any."""
+    newest = tasks.groupBy(key).agg(F.max(F.struct(*order)).alias("_v"), F.sum("n").cast("int").alias("_version"))
+    newest = newest.select(key, *[F.col(f"_v.{c}").alias(c) for c in order], "_version")
+    out = null_safe_join(rows, newest, [key, *order], "inner")
+    return out.withColumn("label_version", F.col("_version")).select(*rows.columns)
 
 
 def annotation_rows(docs: DataFrame, schema=schemas.LABEL_DOCUMENT, key_cols=("sequence_id", "frame")) -> DataFrame:
     """Annotation rows (one per object, track annotation and frame) of the newest document per
     sequence, before boxes (every annotation type still present)."""
-    parsed = parse_json(docs, "src_json", schema, out="_doc")
-    doc = rename_label_document(parsed.select("filepath", "modified", "filesize_bytes", "_doc.*"))
-    tasks = keep_latest_label(explode_tasks(doc))
+    tasks = keep_latest_label(_tasks(docs, schema))
     tasks = tasks.withColumn("ingest_date", ingest_date("modified")).drop("modified")
     tasks = const_cols(tasks, {"labeling_fps": C.LABELING_FPS, "legacy": C.LABEL_LEGACY,
                                "label_source": C.LABEL_SOURCE})
@@ -53,22 +64,20 @@ def rejected_annotations(rows: DataFrame) -> DataFrame:
 
 
 def labels_from_documents(docs: DataFrame, old: DataFrame | None = None, schema=schemas.LABEL_DOCUMENT,
-                          key_cols=("sequence_id", "frame")) -> DataFrame:
+                          key_cols=("sequence_id", "frame"), old_tasks: DataFrame | None = None) -> DataFrame:
     """Annotation rows with uniform boxes (types other than rectangle and polygon are dropped).
 
-    With ``old`` rows, versions are ranked over old ∪ new, so a sequence keeps
-    only its newest document's rows.  ``key_cols`` builds ``primary_key``
+    With ``old`` rows and ``old_tasks`` (``label_tasks`` of the documents behind them), versions are decided over old
+    and new documents, so the result equals one run over all of them.  Without ``old_tasks`` the stored versions of
+    the old rows stand in: old documents without annotations are unknown then.  ``key_cols`` builds ``primary_key``
     (add ``object_id`` for a key per object).
     """
-    rows = bbox_union(annotation_rows(docs, schema, key_cols)).withColumn("traits", F.to_json("traits"))
-    if old is not None:
-        # versions continue after the highest stored version of the sequence
-        prev = old.groupBy("sequence_id").agg(F.max("label_version").alias("_prev_version"))
-        rows = rows.join(prev, "sequence_id", "left").withColumn(
-            "label_version", F.col("label_version") + F.coalesce(F.col("_prev_version"), F.lit(0))).drop(
-            "_prev_version")
-        rows = keep_latest_version_rows(append_union(old, rows))
-    return rows
+    rows = bbox_union(annotation_rows(docs, schema, key_cols))
+    if old is None:
+        return rows
+    if old_tasks is None:
+        old_tasks = old.groupBy("sequence_id", *_ORDER).agg(F.max("label_version").cast("long").alias("n"))
+    return keep_newest_documents(append_union(old, rows), old_tasks.unionByName(label_tasks(docs, schema)))
 
 
 def label_table(labels: DataFrame, ontology: DataFrame) -> DataFrame:

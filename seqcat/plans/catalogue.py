@@ -3,10 +3,12 @@
 from pyspark.sql import SparkSession
 
 from seqcat import schemas
+from seqcat.operators.boxes import bbox_union
+from seqcat.operators.jsonx import malformed_documents
 from seqcat.plans.annotations import (
     annotation_rows,
     label_table,
-    labels_from_documents,
+    label_tasks,
     rejected_annotations,
     sequences_with_labels,
 )
@@ -25,9 +27,13 @@ from seqcat.sources import (
 
 
 def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontology_csv: str, out_root: str,
-                    *, seq_schema=None) -> dict:
-    """Build the frame, sequence, label and final tables under ``out_root``; return their paths
-    and ``rejected_annotations`` (annotations of other types, which carry no box).
+                    *, seq_schema=None, frame_schema=None) -> dict:
+    """Build the frame, sequence, label and final tables under ``out_root``; return their paths,
+    ``rejected_annotations`` (annotations of other types, which carry no box) and ``malformed_documents``
+    (telemetry and label files that hold no JSON of the expected kind, so give no row).
+
+    ``frame_schema`` (an array of frames) and ``seq_schema`` declare the documents and spare the pass that infers
+    their open fields.
 
     Intermediate tables are written and read back: this cuts lineage (a lost
     executor re-runs only its own stage) and keeps costly inputs, such as the
@@ -36,14 +42,15 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     """
     out = out_root.rstrip("/")
     paths = {k: f"{out}/{k}" for k in ("videos", "stills", "frames_flat", "frames", "telemetry", "merged",
-                                       "sequences", "labels", "catalogue")}
+                                       "sequences", "annotations", "label_tasks", "labels", "catalogue")}
 
     # file catalogues first: one small row per file, so the video bytes are read (hashed) exactly once
     stage_write(video_files(spark, raw_root), paths["videos"])
     stage_write(still_files(spark, raw_root), paths["stills"])
 
     # JSON parsed once; start/end values and global averages read the stored frames
-    stage_write(flat_frames(telemetry_documents(spark, raw_root)), paths["frames_flat"])
+    telemetry = telemetry_documents(spark, raw_root)
+    stage_write(flat_frames(telemetry, frame_schema), paths["frames_flat"])
     stage_write(frames_with_context(stage_read(spark, paths["frames_flat"])), paths["frames"],
                 partition_by="batch_path")
     stage_write(sequences_from_frames(stage_read(spark, paths["frames"])), paths["telemetry"])
@@ -60,8 +67,14 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
 
     ontology = dim_read(spark, ontology_csv, schemas.ONTOLOGY)
     docs = label_documents(spark, label_folder)
-    stage_write(label_table(labels_from_documents(docs), ontology), paths["labels"])
-    report = {"rejected_annotations": rejected_annotations(annotation_rows(docs)).count()}
+    # stored: boxes and the count of rejected annotations read it; the tasks decide versions in later runs
+    stage_write(annotation_rows(docs), paths["annotations"])
+    stage_write(label_tasks(docs), paths["label_tasks"])
+    rows = stage_read(spark, paths["annotations"])
+    stage_write(label_table(bbox_union(rows), ontology), paths["labels"])
+    report = {"rejected_annotations": rejected_annotations(rows).count(),
+              "malformed_documents": malformed_documents(telemetry, array=True).count()
+              + malformed_documents(docs).count()}
 
     final = sequences_with_labels(stage_read(spark, paths["sequences"]), stage_read(spark, paths["labels"]))
     stage_write(final, paths["catalogue"], partition_by="batch")

@@ -38,9 +38,11 @@ from seqcat.functions import (
     time_of_day_bucket,
     ts_cast,
 )
-from seqcat.operators.jsonx import JSON_OPTIONS
+from seqcat.functions.classify import clip_seconds
+from seqcat.operators.jsonx import JSON_OPTIONS, malformed_documents
 from seqcat.operators import (
     add_label_size,
+    annotation_members,
     annotation_struct,
     append_union,
     bbox_polygon,
@@ -91,6 +93,8 @@ from seqcat.operators import (
     upper_median,
     version_number,
 )
+from seqcat.plans.annotations import label_table, label_tasks, labels_from_documents
+from seqcat.plans.telemetry import flat_frames
 from seqcat.plans._sqlgen import case_buckets, case_rules
 from seqcat.session import scratch_dir
 from seqcat.sources import (
@@ -734,6 +738,49 @@ def q_flatten_frame(spark, d):
                      r6("altitude_ft").alias("altitude_ft"), r6("solar_ned_phi").alias("solar_ned_phi"), "area_code")
 
 
+@register("flatten_frame_open", f"""SELECT vec_id, CAST(i AS INTEGER) AS sequence_frame,
+  CASE WHEN label % 2 = 0 THEN round(CAST(v AS DOUBLE) * 2.0, 6) END AS extra_feed,
+  CASE WHEN label % 3 = 0 THEN 'v' || label END AS variant_id, CASE WHEN label % 2 = 1 THEN CAST(i AS BIGINT) END AS ground_speed,
+  'odd ' || i AS odd_key FROM {_UNNEST_EMB}""")
+def q_flatten_frame_open(spark, d):
+    """Fields that no schema declares, each in some documents only, through ``flat_frames``."""
+    def frame(v, i):
+        n = (i + 1).cast("long")
+        return F.struct(
+            n.cast("string").alias("seq_frame"),
+            F.struct(F.when(F.col("label") % 2 == 0, v.cast("double") * 2.0).alias("extra_feed"),
+                     F.when(F.col("label") % 3 == 0, F.concat(F.lit("v"), F.col("label").cast("string")))
+                     .alias("VARIANT_ID")).alias("feed"),
+            F.struct(F.when(F.col("label") % 2 == 1, n).alias("ground_speed")).alias("platform"),
+            F.struct(F.concat(F.lit("odd "), n.cast("string")).alias("odd_key")).alias("all_fields"))
+
+    docs = tbl(spark, d, "embeddings").select("vec_id", F.to_json(F.transform("embedding", frame)).alias("src_json"))
+    fr = flat_frames(docs)
+    wanted = {"extra_feed": "double", "VARIANT_ID": "string", "ground_speed": "bigint"}
+    fr = fr.withColumns({c: F.lit(None).cast(t) for c, t in wanted.items() if c not in fr.columns})
+    return fr.select("vec_id", "sequence_frame", r6("extra_feed").alias("extra_feed"), F.col("VARIANT_ID").alias("variant_id"),
+                     "ground_speed", F.get_json_object("all_fields", "$.odd_key").alias("odd_key"))
+
+
+@register("malformed_documents", """SELECT o_orderkey FROM orders
+WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0""")
+def q_malformed_documents(spark, d):
+    """Documents cut short, arrays where an object is expected, and nulls."""
+    key, text = F.col("o_orderkey"), F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    docs = tbl(spark, d, "orders").select("o_orderkey", F.when(key % 13 == 0, F.lit(None)).when(
+        key % 7 == 0, F.left(text, F.length(text) - 1)).when(key % 11 == 0, F.concat(F.lit("["), text, F.lit("]")))
+        .otherwise(text).alias("src_json"))
+    return malformed_documents(docs).select("o_orderkey")
+
+
+@register("clip_seconds", """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 30 WHEN 1 THEN 8 ELSE 5 END AS clip_length
+FROM orders""")
+def q_clip_seconds(spark, d):
+    key = F.col("o_orderkey") % 3
+    frames = F.when(key == 0, 900).when(key == 1, 240).otherwise(F.when(F.col("o_orderkey") % 2 == 0, 150))
+    return tbl(spark, d, "orders").select("o_orderkey", clip_seconds(frames).cast("int").alias("clip_length"))
+
+
 @register("stage_write", "SELECT * FROM nation")
 def q_stage_write(spark, d):
     path = scratch_dir(spark, "stage")
@@ -1082,6 +1129,54 @@ def q_group_labels(spark, d):
     return g.select("sequence_id", F.array_join("categories", ",").alias("categories"), "label_count")
 
 
+@register("annotation_members", """
+SELECT DISTINCT l_orderkey AS sequence_id, CAST(l_linenumber AS VARCHAR) AS label_id, l_partkey, l_suppkey FROM lineitem""")
+def q_annotation_members(spark, d):
+    return annotation_members(_line_labels(spark, d)).select("sequence_id", "label_id", "annotations.*")
+
+
+_DOC_TASKS = """(SELECT c_custkey, c_nationkey, CAST(c_custkey % 50 AS VARCHAR) AS seq,
+  'day' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS download_date FROM customer)"""
+
+
+@register("plan_labels", f"""
+WITH newest AS (SELECT seq, max(download_date) AS download_date, CAST(count(*) AS INTEGER) AS label_version
+                FROM {_DOC_TASKS} GROUP BY seq),
+     rows AS (SELECT t.*, n.label_version FROM {_DOC_TASKS} t JOIN newest n USING (seq, download_date) WHERE c_custkey % 4 <> 0)
+SELECT r.seq AS sequence_id, r.download_date, r.label_version, 'L' || r.c_nationkey AS label_id,
+       'C' || r.c_nationkey AS category, n.n_name AS category_hierarchy, 1.0 AS x, 2.0 AS y,
+       CAST(1 + r.c_nationkey AS DOUBLE) AS width, 4.0 AS height, '{{"n":' || r.c_custkey || '}}' AS traits
+FROM rows r LEFT JOIN nation n ON n.n_nationkey = r.c_nationkey AND n.n_nationkey % 2 = 0""")
+def q_plan_labels(spark, d):
+    """Label documents (one per customer, every fourth without annotations) -> newest per sequence, in two runs:
+    documents of even customers first, then the others with the stored rows and tasks -> boxes -> ontology."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    ann = F.struct(F.lit(C.ANNOTATION_RECT).alias("type"), F.lit(1).cast("long").alias("position"), F.struct(
+        F.lit(1.0).alias("xMin"), (F.col("c_nationkey") + 2).cast("double").alias("xMax"), F.lit(2.0).alias("yMin"),
+        F.lit(6.0).alias("yMax")).alias("coords"))
+    obj = F.struct(F.lit("o").alias("id"), F.array(F.struct(
+        F.concat(F.lit("L"), nation).alias("id"), F.concat(F.lit("C"), nation).alias("name"),
+        F.concat(F.lit("iri:"), nation).alias("key"))).alias("labels"),
+        F.array(F.struct(F.array(ann).alias("annotations"))).alias("tracks"))
+    task = F.struct(key.cast("string").alias("id"), F.concat((key % 50).cast("string"), F.lit(".mp4")).alias("name"),
+                    F.when(key % 4 != 0, F.array(obj)).alias("objectOccurrences"))
+    doc = F.to_json(F.struct(F.concat(F.lit("day"), F.lpad(key.cast("string"), 9, "0")).alias("downloadedDate"),
+                             F.struct(key.alias("n")).alias("traits"), F.array(task).alias("data")))
+    docs = tbl(spark, d, "customer").select("c_custkey", F.concat(F.lit("d/"), key.cast("string"), F.lit(".json")).alias("filepath"),
+                                            F.lit("2024-01-01").cast("timestamp").alias("modified"), F.lit(1).cast("long").alias("filesize_bytes"),
+                                            doc.alias("src_json"))
+    old, new = docs.where(key % 2 == 0).drop("c_custkey"), docs.where(key % 2 == 1).drop("c_custkey")
+    rows_path, tasks_path = scratch_dir(spark, "old-labels"), scratch_dir(spark, "old-tasks")
+    stage_write(labels_from_documents(old), rows_path)
+    stage_write(label_tasks(old), tasks_path)
+    labels = labels_from_documents(new, old=stage_read(spark, rows_path), old_tasks=stage_read(spark, tasks_path))
+    ontology = tbl(spark, d, "nation").where("n_nationkey % 2 = 0").select(
+        F.concat(F.lit("iri:"), F.col("n_nationkey").cast("string")).alias("ontology_iri"),
+        F.col("n_name").alias("ontology_hierarchy_names"), F.lit(None).cast("string").alias("ontology_hierarchy_iris"))
+    return label_table(labels, ontology).select("sequence_id", "download_date", "label_version", "label_id", "category",
+                                                "category_hierarchy", "x", "y", "width", "height", "traits")
+
+
 @register("labeled_objects", """
 SELECT o.o_orderkey, CAST(g.n AS INTEGER) AS labeled_objects FROM orders o
 LEFT JOIN (SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP BY l_orderkey) g

@@ -18,6 +18,7 @@ def built(spark, tmp_path_factory):
     paths = write_tree(root)
     out = build_catalogue(spark, paths["raw"], paths["labels"], paths["ontology"], os.path.join(root, "out"))
     assert out.pop("rejected_annotations") == 1  # the one annotation of an unknown type
+    assert out.pop("malformed_documents") == 0
     return paths, {k: stage_read(spark, v) for k, v in out.items()}
 
 
@@ -105,6 +106,80 @@ def test_streamed_md5_equals_content_md5(spark, built):
     assert a == b and len(a) == 6 and None not in a.values()
 
 
+NAMES = ["clip+1 a", "c%20d", "e#f", "plain"]
+
+
+def test_unusual_names_are_the_same_in_every_source(spark, tmp_path):
+    """Space, plus, percent and hash in batch, clip and label file names."""
+    from seqcat.operators.incremental import skip_done_files
+    from seqcat.sources import sequence_documents, telemetry_documents
+    from seqcat.sources.files import file_catalogue
+    for n in NAMES:
+        for sub, ext, text in (("", "json", "{}"), ("seq_mp4/", "mp4", n * 9), ("seq_zip/", "zip", n), ("mapp_metadata/", "json", "[]")):
+            path = tmp_path / "raw" / f"b {n}" / n / f"{sub}{n}.{ext}"
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text(text)
+        (tmp_path / "labels").mkdir(exist_ok=True)
+        (tmp_path / "labels" / f"{n}.json").write_text("{}")
+    raw = str(tmp_path / "raw")
+    for read in (video_files, still_files, telemetry_documents, sequence_documents):
+        rows = read(spark, raw).collect()
+        assert {(r.sequence_id, r.batch_path) for r in rows} == {(n, f"b {n}") for n in NAMES}, read
+        assert all(r.filepath.startswith("file:/") and not r.filepath.startswith("file://") for r in rows)
+    pattern = f"{raw}/*/*/seq_mp4/*"
+    a, b = ({(r.filepath, r.md5_hash) for r in file_catalogue(spark, pattern, with_md5=True, content_max_bytes=n).collect()}
+            for n in (1 << 20, 1))
+    assert a == b and len(a) == len(NAMES)
+    done = spark.createDataFrame([(n,) for n in NAMES[:3]], "project_name string")
+    left = skip_done_files(label_documents(spark, str(tmp_path / "labels")), done)
+    assert [r.file_name for r in left.collect()] == ["plain.json"]
+
+
+def test_incremental_labels_with_empty_newest_and_late_older(spark):
+    import json
+
+    from seqcat.plans.annotations import label_tasks
+    from tests.tree import RECT, _label_doc, _obj
+    some = [_obj("o", "boat", "iri:boat", [RECT])]
+    docs = [("a.json", "2023-01-01", {"s1": some, "s2": some}), ("b.json", "2023-03-01", {"s1": []}),
+            ("c.json", "2022-01-01", {"s1": some, "s2": some})]
+    table = spark.createDataFrame([(f, json.dumps(_label_doc(f, date, [
+        {"id": s, "name": f"{s}.mp4", "url": "u", "objectOccurrences": o} for s, o in tasks.items()])))
+        for f, date, tasks in docs], "filepath string, src_json string").withColumns(
+        {"modified": F.lit("2024-01-01").cast("timestamp"), "filesize_bytes": F.lit(1).cast("long")})
+    cols = ["sequence_id", "download_date", "label_version", "traits", "x"]
+    full = sorted(labels_from_documents(table).select(cols).collect())
+    assert [(r.sequence_id, r.label_version, r.traits) for r in full] == [("s2", 2, '{"t":"x"}')]
+    old = old_tasks = None
+    for f, _, _ in docs:
+        part = table.where(F.col("filepath") == f)
+        old = labels_from_documents(part, old=old, old_tasks=old_tasks)
+        old_tasks = label_tasks(part) if old_tasks is None else old_tasks.unionByName(label_tasks(part))
+    assert sorted(old.select(cols).collect()) == full
+
+
+def test_open_fields_and_malformed_documents(spark):
+    from seqcat.operators.jsonx import infer_json_schema, malformed_documents
+    from seqcat.plans.telemetry import flat_frames
+    first = '{"seq_frame":"1","feed":{"VARIANT_ID":"v","OBJECT":1.5,"speed":2},"platform":{"speed":3,"a.b":"p"},' \
+            '"all_fields":{"odd": 1.50,"slant_range":NaN}}'
+    second = '{"seq_frame":"2","feed":{"only_here":7,"height_pix":720}}'
+    docs = spark.createDataFrame([("x", f"[{first}, {second}]"), ("one", second), ("cut", f"[{first}"), ("half", first[:30]),
+                                  ("text", "hello"), ("none", None), ("empty", "[]")], "sequence_id string, src_json string")
+    rows = {(r.sequence_id, r.sequence_frame): r for r in flat_frames(docs).collect()}
+    assert set(rows) == {("x", 1), ("x", 2), ("one", 2)}
+    r = rows["x", 1]
+    assert (r.VARIANT_ID, r.OBJECT, r.speed, r.platform_speed, r.a_b) == ("v", 1.5, 2, 3, "p")
+    kept = '{"odd":1.5,"slant_range":"NaN"}'  # written anew: same fields and values, bare NaN quoted
+    assert r.src_json == first.replace('{"odd": 1.50,"slant_range":NaN}', kept) and r.all_fields == kept and r.slant_range is None
+    assert rows["x", 2].only_here == 7 == rows["one", 2].only_here and rows["one", 2].height_pix == 720
+    bad = {"cut", "half", "text", "none"}
+    assert {r.sequence_id for r in malformed_documents(docs, array=True).collect()} == bad
+    assert {r.sequence_id for r in malformed_documents(docs).collect()} == bad | {"x", "empty"}
+    one = spark.createDataFrame([('{"VARIANT":1,"a OBJECT<b: DECIMAL(1,2)":{"VOID":null}}',)], "j string")
+    assert infer_json_schema(one, "j") == "STRUCT<`VARIANT`: BIGINT, `a OBJECT<b: DECIMAL(1,2)`: STRUCT<`VOID`: STRING>>"
+
+
 def test_catalogue_partitioned_by_batch(built):
     _, t = built
     seqs = t["sequences"]
