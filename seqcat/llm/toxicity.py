@@ -23,7 +23,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +39,7 @@ SAMPLE_CHARS = 8000
 FEATURE_BITS = 18
 MIN_RATIO = 8.0  #: log-likelihood ratio from which a word or prefix marks toxic tokens
 STEPS = 40
+FIT_TOKENS = 1 << 16  #: tokens of whole texts that a step of fitting holds at a time, beside a few numbers a token
 RESULT = "score double, spans array<struct<start:int,end:int>>"
 _PREFIXES = (3, 4, 5, 6)
 _CACHE = 1 << 20
@@ -140,7 +141,7 @@ def document_features(p: np.ndarray) -> np.ndarray:
                      1000 * total / (len(p) + 100) / 10])
 
 
-def seeds(texts: list[list[bytes]], toxic: list[bool]) -> set[bytes]:
+def seeds(texts: Iterable[Iterable[bytes]], toxic: list[bool]) -> set[bytes]:
     """Words and prefixes that occur in toxic documents far more often than chance gives."""
     found = [Counter(), Counter()]
     for ws, y in zip(texts, toxic, strict=True):
@@ -160,36 +161,48 @@ def fit(rows: list[tuple[str | None, int]], share: float | None = None, steps: i
     """The field learnt from (text, toxic) rows; ``share`` is the share of toxic labels where the rows come from,
     by which the document score is weighted."""
     rows = list(dict.fromkeys((t or "", int(y)) for t, y in rows))
-    texts, toxic = [words(t) for t, _ in rows], [y > 0 for _, y in rows]
+    toxic = [y > 0 for _, y in rows]
     size = 1 << FEATURE_BITS
     trans = np.zeros((2, 2))
     if not rows or len(set(toxic)) < 2:
         return Field(np.zeros(size), 0.0, trans, np.zeros(5), sum(toxic) / len(toxic) if rows else 0.0)
-    marks = seeds(texts, toxic)
-    vocabulary = {w: i for i, w in enumerate({w for ws in texts for w in ws})}
+    vocabulary: dict[bytes, int] = {}  # texts are kept as places in it
+    texts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(t)], dtype=np.int32) for t, _ in rows]
+    spelt = list(vocabulary)
+    marks = seeds(([spelt[i] for i in np.unique(ws)] for ws in texts), toxic)
     marked = np.array([any(p in marks for p in parts(w)) for w in vocabulary], dtype=bool)
     feats = [feature_ids(w) for w in vocabulary]
     feat, owner = np.array([f for fs in feats for f in fs]), np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    flat = np.array([vocabulary[w] for ws in texts for w in ws])
+    flat = np.concatenate(texts)
     lengths = np.array([len(ws) for ws in texts])
-    starts = (np.cumsum(lengths) - lengths)[lengths > 0]
+    ends = np.cumsum(lengths)
     labels = marked[flat] & np.repeat(toxic, lengths)
     new = np.zeros(len(flat), dtype=bool)
-    new[starts] = True
+    new[(ends - lengths)[lengths > 0]] = True
     pairs = (2 * labels[:-1] + labels[1:])[~new[1:]]
     seen = np.bincount(pairs, minlength=4).reshape(2, 2)
     weights, bias = np.zeros(size), -4.0
+    cuts = [0, *ends[np.flatnonzero(np.diff(ends // FIT_TOKENS))].tolist(), len(flat)]  # between texts
+
+    def marginals() -> tuple[np.ndarray, np.ndarray]:
+        by_word = bias + np.bincount(owner, weights=weights[feat], minlength=len(feats))
+        p, expected = np.zeros(len(flat)), np.zeros((2, 2))
+        for i, j in zip(cuts, cuts[1:]):
+            if i < j:
+                p[i:j], part = forward_backward(by_word[flat[i:j]], np.flatnonzero(new[i:j]), trans)
+                expected += part
+        return p, expected
+
     sums = [np.full(size, 1e-8), 1e-8, np.full((2, 2), 1e-8)]  # Adagrad
     for _ in range(steps):
-        by_word = bias + np.bincount(owner, weights=weights[feat], minlength=len(feats))
-        p, expected = forward_backward(by_word[flat], starts, trans)
+        p, expected = marginals()
         error = labels - p
         grads = [np.bincount(feat, weights=np.bincount(flat, weights=error, minlength=len(feats))[owner], minlength=size) - 0.01 * weights,
                  error.sum(), seen - expected - 0.01 * trans]
         sums = [s + g * g for s, g in zip(sums, grads, strict=True)]
         weights, bias, trans = (x + 0.5 * g / np.sqrt(s) for x, g, s in zip((weights, bias, trans), grads, sums, strict=True))
     field = Field(weights, float(bias), trans, np.zeros(5))
-    x = np.array([document_features(m) for m in field.tag(texts, {})])
+    x = np.array([document_features(m) for m in np.split(marginals()[0], ends[:-1])])
     y = np.array(toxic, dtype=float)
     share = y.mean() if share is None else share
     weight = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
