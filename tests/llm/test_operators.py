@@ -244,6 +244,21 @@ def test_passages(spark, empty):
     assert substrings.repeated_passages(empty).count() == 0
 
 
+def test_word_hashes(monkeypatch):
+    r = random.Random(3)
+    texts = ["", "  ", "a", " A\tb\n", "ab ba aab baa aaa aa a", "é\u2003x ÉX", "w" * 300 + " " + "W" * 300 + "x " * 40, " ".join("ab"[r.randrange(2)] * r.randrange(1, 9) for _ in range(2000))]
+    for part in (substrings.PART, 7):
+        monkeypatch.setattr(substrings, "PART", part)
+        known = {}
+        for t in texts:
+            words = t.encode().lower().split()
+            found = substrings.word_hashes(t.encode()).tolist()
+            assert len(found) == len(words)
+            assert all(known.setdefault(w, h) == h for w, h in zip(words, found))
+        assert len(set(known.values())) == len(known)
+    assert len(substrings.word_hashes(None)) == 0
+
+
 @pytest.mark.parametrize("chunk", [32 << 20, 500])
 def test_token_counts(docs, empty, chunk):
     from tokenizers import Tokenizer
