@@ -14,14 +14,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     checkpoint dir; on a cluster a machine-local folder would not be shared,
     so an unset setting is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="seqcat-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.getCheckpointDir() is None:  # a running session can't set spark.checkpoint.dir itself
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="seqcat-ckpt-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/seqcat/{name}-{uuid.uuid4().hex}"
 
 
