@@ -244,6 +244,19 @@ def test_passages(spark, empty):
     assert substrings.repeated_passages(empty).count() == 0
 
 
+def test_passages_leave_one_occurrence(spark):
+    r = random.Random(23)
+    text = lambda n: ["u%d" % r.randrange(10 ** 6) for _ in range(n)]
+    shared = [text(50 + i % 2 * 50) for i in range(60)]
+    rows = [(2 * i + k, " ".join(text(25) + p + text(25))) for i, p in enumerate(shared) for k in (0, 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.repeated_passages(d).collect()
+    assert {frozenset((x["doc_id"], x["of_doc_id"])) for x in found} == {frozenset((2 * i, 2 * i + 1)) for i in range(60)}
+    left = {x["doc_id"]: x["clean_text"] for x in substrings.without_passages(d, spark.createDataFrame(found)).collect()}
+    for i, p in enumerate(shared):
+        assert sum(" ".join(p) in left[2 * i + k] for k in (0, 1)) == 1
+
+
 def test_word_hashes(monkeypatch):
     r = random.Random(3)
     texts = ["", "  ", "a", " A\tb\n", "ab ba aab baa aaa aa a", "é\u2003x ÉX", "w" * 300 + " " + "W" * 300 + "x " * 40, " ".join("ab"[r.randrange(2)] * r.randrange(1, 9) for _ in range(2000))]
