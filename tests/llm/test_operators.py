@@ -257,6 +257,48 @@ def test_passages_leave_one_occurrence(spark):
         assert sum(" ".join(p) in left[2 * i + k] for k in (0, 1)) == 1
 
 
+@pytest.mark.parametrize("block", [2048, 4])  # the second deals a value's windows out as pairs of blocks
+def test_passages_among_edited_copies(spark, block, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK", block)
+    r = random.Random(31)
+    text = lambda n: ["u%d" % r.randrange(10 ** 6) for _ in range(n)]
+    texts, spans = [], []
+    for _ in range(12):
+        base = text(60)
+        for _ in range(10):
+            copy = list(base)
+            for _ in range(r.randrange(4)):
+                copy[r.randrange(60)] = text(1)[0]
+            before = text(20 + r.randrange(30))
+            texts.append(before + copy + text(30))
+            spans.append((len(before), copy))
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rid = {x["doc_id"]: x["rid"] for x in d.select("doc_id", F.xxhash64("doc_id", "text").alias("rid")).collect()}
+    found = substrings.repeated_passages(d).collect()
+    grams = lambda t: {tuple(t[i:i + 5]) for i in range(len(t) - 4)}
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for x in found:
+        a, b = texts[x["of_doc_id"]][x["of_start"]:x["of_end"]], texts[x["doc_id"]][x["start"]:x["end"]]
+        assert min(len(a), len(b)) >= 50 and rid[x["of_doc_id"]] < rid[x["doc_id"]]
+        assert 100 * len(grams(a) & grams(b)) >= 80 * len(grams(a) | grams(b))
+        parent[root(x["doc_id"])] = root(x["of_doc_id"])
+    later = {x["doc_id"] for x in found}
+    pairs = 0
+    for g in range(0, len(texts), 10):
+        for i in range(g, g + 10):
+            for j in range(g, i):
+                a, b = grams(spans[i][1]), grams(spans[j][1])
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    pairs += 1
+                    assert root(i) == root(j) and max(i, j, key=rid.get) in later
+    assert pairs >= 100
+
+
 def test_word_hashes(monkeypatch):
     r = random.Random(3)
     texts = ["", "  ", "a", " A\tb\n", "ab ba aab baa aaa aa a", "é\u2003x ÉX", "w" * 300 + " " + "W" * 300 + "x " * 40, " ".join("ab"[r.randrange(2)] * r.randrange(1, 9) for _ in range(2000))]
