@@ -2,11 +2,11 @@
 
 A node is a distinct set of word shingles; documents with equal sets share one, so groups of copies cost
 one node.  Every node is posted under its (coordinate, value) pairs.  A pair of nodes is a candidate when at
-least ``MATCHES`` of ``COORDINATES`` values collide:
+least ``matches(percent)`` of ``COORDINATES`` values collide:
 
-* skip: values held by one node alone can't collide; nodes with fewer than ``MATCHES`` other values have no
+* skip: values held by one node alone can't collide; nodes with fewer other values have no
   candidates at all;
-* prefix: of its ``s`` values that collide, a node is posted under the ``s - MATCHES + 1`` rarest only; by the
+* prefix: of its ``s`` values that collide, a node is posted under the ``s - matches + 1`` rarest only; by the
   prefix-filter principle any candidate pair meets there;
 * merge: a posting list counts collisions between its members' whole signatures in blocks, and hands on
   what hangs together by candidate pairs as a star around its smallest node, never all pairs.
@@ -16,7 +16,8 @@ pair whose ends are not linked yet is confirmed by its exact Jaccard similarity,
 links join is handed on as a star again.  Long lists and large clusters are dealt out as pairs of blocks, so no task
 holds more than two blocks.  The components of the confirmed links are those of all links.
 
-With similarity 0.85 a pair has Binomial(32, 0.85) collisions: fewer than 18 with probability below 1e-4.
+With similarity 0.85 a pair has Binomial(32, 0.85) collisions: fewer than 18 with probability below 2e-5.  Other
+similarities take the largest number of collisions for which that holds.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text with fewer than five words
 is one shingle; null and empty texts have none, are linked with nothing and are their own component; null
@@ -26,6 +27,7 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -42,7 +44,7 @@ from seqcat.llm.graph import Forest, components
 SHINGLE = 5
 PERCENT = 85
 COORDINATES = 32
-MATCHES = 18
+MISSED = 2e-5  #: probability that a pair of the least similarity has too few collisions
 LIST_BLOCK = 2048  #: nodes of a posting list in a block
 SET_BLOCK = 16 << 20  #: bytes of shingle sets of a cluster in a block
 WORD_CACHE = 1 << 19
@@ -50,6 +52,16 @@ WORD_CACHE = 1 << 19
 _FACTORS = (np.random.default_rng(20240607).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
+def matches(percent: int) -> int:
+    """The largest number of collisions that pairs of similarity ``percent`` miss with probability below ``MISSED``."""
+    p, below = percent / 100, 0.0
+    for k in range(COORDINATES):
+        below += math.comb(COORDINATES, k) * p ** k * (1 - p) ** (COORDINATES - k)
+        if below >= MISSED:
+            return max(k, 1)
+    return COORDINATES
+
+
 class WordHashes:
     """64-bit hashes of words, cached up to a fixed number."""
 
@@ -120,14 +132,14 @@ def _pairs(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch({c: pa.array([f[i] for f in found], pa.binary()) for i, c in enumerate("ab")})
 
 
-def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The candidate pairs of each posting list (or pair of its blocks), each hanging-together set as a star."""
     found = []
     for nodes, sigs in sorted_groups(batches, ["post", "lo", "hi"], ["node", "sig"]):
         sig = np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(nodes), -1)
         forest = Forest(len(nodes))
         for i in range(len(nodes) - 1):
-            hits = np.flatnonzero((sig[i + 1:] == sig[i]).sum(axis=1) >= MATCHES) + i + 1
+            hits = np.flatnonzero((sig[i + 1:] == sig[i]).sum(axis=1) >= least) + i + 1
             for j in hits.tolist():
                 forest.join(i, j)
         found += forest.stars(nodes)
@@ -150,12 +162,13 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 def _confirm(percent: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The confirmed links of each cluster (or pair of its blocks), each hanging-together set as a star."""
+    fewest = matches(percent)
     for nodes, sigs, blobs in sorted_groups(batches, ["cluster", "lo", "hi"], ["node", "sig", "shingles"]):
         sig = np.frombuffer(b"".join(sigs), dtype=np.uint32).reshape(len(nodes), -1)
         sets = [np.frombuffer(x, dtype=np.uint64) for x in blobs]
         forest = Forest(len(nodes))
         # pairs with many collisions first: they are likely links, and linked ends need no further proof
-        for least, most in ((28, COORDINATES), (24, 27), (MATCHES, 23)):
+        for least, most in ((28, COORDINATES), (24, 27), (fewest, 23)):
             for i in range(len(nodes) - 1):
                 same = (sig[i + 1:] == sig[i]).sum(axis=1)
                 for j in (np.flatnonzero((same >= least) & (same <= most)) + i + 1).tolist():
@@ -175,20 +188,21 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
+def candidate_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): stars of what candidate pairs of nodes (node, sig) join."""
+    least = matches(percent)
     values = F.pandas_udf(_values, "v array<long>")
     posts = nodes.select("node", "sig", F.posexplode(values("sig")["v"]).alias("c", "v"))
     posts = posts.select("node", (F.col("c") * F.lit(1 << 32) + F.col("v")).alias("post"))
     common = posts.groupBy("post").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     lists = posts.join(common, "post").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "post"))).alias("posts"))  # COORDINATES at most
-    lists = lists.where(F.size("posts") >= MATCHES).select(
-        "node", F.explode(F.slice("posts", F.lit(1), F.size("posts") - MATCHES + 1)).alias("p"))
+    lists = lists.where(F.size("posts") >= least).select(
+        "node", F.explode(F.slice("posts", F.lit(1), F.size("posts") - least + 1)).alias("p"))
     lists = lists.select("node", "p.post", "p.df").join(nodes, "node")
     lists = block_pairs(lists, F.ceil(F.col("df") / LIST_BLOCK), F.col("node"))
     return (lists.repartition("post", "lo", "hi").sortWithinPartitions("post", "lo", "hi")
-            .mapInArrow(_candidates, "a binary, b binary"))
+            .mapInArrow(partial(_candidates, least), "a binary, b binary"))
 
 
 def confirmed_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -211,7 +225,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     nodes = staged(rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min("rid").alias("rid"), F.first("sig").alias("sig"),
         F.first("n_shingles").alias("n_shingles")), "nodes")
-    pairs = staged(candidate_pairs(nodes.select("node", "sig")), "candidates")
+    pairs = staged(candidate_pairs(nodes.select("node", "sig"), percent), "candidates")
     links = confirmed_links(docs, nodes, pairs, id_col, text_col, percent)
     found = components(links)
     nodes = nodes.select("node", "least_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -393,6 +393,20 @@ def test_near_duplicates(spark, empty, block, monkeypatch):
             ["(None, 1, 1, False)", "(1, 1, 1, True)", "(1, 1, 1, True)", "(None, 0, None, True)"])
 
 
+def test_near_duplicates_at_other_similarities(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(40):
+        base = ["u%d" % r.randrange(10 ** 6) for _ in range(100)]
+        copy = list(base)
+        copy[30], copy[60] = "changed", "too"  # 86 of 106 shingles, 0.81
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in near_dedup.one_of_each(d, percent=80).collect()) == list(range(0, 80, 2))
+    assert near_dedup.one_of_each(d).count() == 80
+    assert near_dedup.matches(85) == 18 and near_dedup.matches(80) < 18
+
+
 def test_components(spark):
     r = random.Random(4)
     links = [(r.randrange(400), r.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(500, 560)]
