@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqcat.llm.common import SLICE_BYTES, held_out, table
+from seqcat.llm.common import SLICE_BYTES, held_out, staged, table
 from seqcat.llm.decontaminate import words as plain_words
 
 SAMPLE_DOCS = (3000, 1500)  #: clean and toxic
@@ -165,7 +165,8 @@ def fit(rows: list[tuple[str | None, int]], share: float | None = None, steps: i
     size = 1 << FEATURE_BITS
     trans = np.zeros((2, 2))
     if not rows or len(set(toxic)) < 2:
-        return Field(np.zeros(size), 0.0, trans, np.zeros(5), sum(toxic) / len(toxic) if rows else 0.0)
+        own = sum(toxic) / len(toxic) if rows else 0.0
+        return Field(np.zeros(size), 0.0, trans, np.zeros(5), own if share is None else share)
     vocabulary: dict[bytes, int] = {}  # texts are kept as places in it
     texts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(t)], dtype=np.int32) for t, _ in rows]
     spelt = list(vocabulary)
@@ -217,15 +218,17 @@ def fit(rows: list[tuple[str | None, int]], share: float | None = None, steps: i
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, keep=None,
                     sample: tuple[int, int] = SAMPLE_DOCS) -> tuple[list[tuple[str | None, int]], float | None]:
-    """At most ``sample`` (text, toxic) rows by label, by a fixed hash order, and the share of toxic labels;
+    """At most ``sample`` (text, toxic) rows by label of texts up to ``SAMPLE_CHARS``, by a fixed hash order, and the share of toxic labels;
     ids that ``keep`` refuses are never read.  The sampled ids are broadcast, so documents aren't shuffled."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         (F.max("toxic") > 0).cast("int").alias("toxic"))
     if keep is not None:
         ids = ids.where(keep)
     share = ids.agg(F.avg("toxic")).first()[0]
+    short = docs.where(F.length("text") <= SAMPLE_CHARS)
+    ids = staged(ids.join(short.select("doc_id"), "doc_id", "left_semi"), "toxicity-ids")
     by_label = [ids.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in enumerate(sample)]
-    rows = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(F.broadcast(by_label[0].union(by_label[1])), "doc_id")
+    rows = short.select("doc_id", "text").join(F.broadcast(by_label[0].union(by_label[1])), "doc_id")
     # repeated rows of an id can't grow the sample
     rows = rows.select("text", "toxic").distinct().orderBy(F.xxhash64("text"), "text").limit(sum(sample))
     return [(r["text"], r["toxic"]) for r in rows.collect()], share

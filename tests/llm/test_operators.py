@@ -167,6 +167,15 @@ def test_toxicity_held_out_and_spans(spark, docs, empty):
     assert {r["toxicity"]["score"] for r in toxicity.scored(docs, nothing).collect()} == {0.0}
 
 
+def test_toxicity_sample_replaces_long_texts(spark):
+    rows = [(i, ("w%d " % i) * (5000 if i % 5 else 5)) for i in range(100)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    sample, share = toxicity.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string"), labels, sample=(6, 7))
+    assert Counter(y for _, y in sample) == {0: 6, 1: 7} and share == 0.5
+    long = spark.createDataFrame([(i, t if i % 2 == 0 else "x" * 9000) for i, t in rows], "doc_id long, text string")
+    assert toxicity.fit(*toxicity.labelled_sample(long, labels)).share == 0.5
+
+
 def test_forward_backward_is_exact():
     import itertools
 
