@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqcat.llm import substrings, toxicity, lm_scoring, near_dedup, chat, decontaminate, exact_dedup, mixing, sharding, token_counts
+from seqcat.llm import (
+    chat, decontaminate, exact_dedup, fill_middle, lm_scoring, mixing, near_dedup, prefix_trie, sharding, simhash, substrings, token_counts, toxicity)
 from seqcat.llm.common import table
 
 
@@ -54,5 +55,19 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.op6_substring_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup, op10_lm_scoring, op4_toxicity, op6_substring_dedup)}
-ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op8_chat": chat.ORACLE}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.op11_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.op12_fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op13_simhash(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup, op10_lm_scoring, op4_toxicity, op6_substring_dedup,
+                                 op11_prefix_trie, op12_fill_in_middle, op13_simhash)}
+ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op8_chat": chat.ORACLE,
+          "op11_prefix_trie": prefix_trie.ORACLE, "op12_fill_in_middle": fill_middle.ORACLE}
