@@ -3,8 +3,10 @@
 from seqcat.sources.files import (
     file_catalogue,
     first_file_per_dir,
+    folder_files,
     json_documents,
     label_documents,
+    label_listing,
     sequence_documents,
     still_files,
     telemetry_documents,
@@ -13,6 +15,6 @@ from seqcat.sources.files import (
 from seqcat.sources.tables import dim_read, export_csv, stage_read, stage_write
 
 __all__ = [
-    "file_catalogue", "first_file_per_dir", "json_documents", "label_documents", "sequence_documents",
+    "file_catalogue", "first_file_per_dir", "folder_files", "json_documents", "label_documents", "label_listing", "sequence_documents",
     "still_files", "telemetry_documents", "video_files", "dim_read", "export_csv", "stage_read", "stage_write",
 ]

@@ -73,29 +73,31 @@ LABEL_DOCS = {
 ONTOLOGY = [("iri:boat", "vessel/boat", "iri:vessel/iri:boat"), ("iri:person", "person", "iri:person")]
 
 
-def write_tree(root: str, label_docs=None) -> dict:
+def write_tree(root: str, label_docs=None, sequences=None, meta=None) -> dict:
+    """``sequences`` adds clips as (batch, sequence, record key, offset, source, video bytes, frames a clip)."""
     raw, labels = os.path.join(root, "raw"), os.path.join(root, "labels")
-    for seq, (batch, srk, offset, source, video) in SEQUENCES.items():
+    clips = [(b, q, k, o, s, v, 4) for q, (b, k, o, s, v) in SEQUENCES.items()] if sequences is None else sequences
+    for batch, seq, srk, offset, source, video, n_frames in clips:
         d = os.path.join(raw, batch, seq)
         for sub in ("seq_mp4", "seq_zip", "mapp_metadata"):
             os.makedirs(os.path.join(d, sub), exist_ok=True)
-        meta = {"seq_fps": "30", "seq_nb_frames": "150", "time_offset_s": offset, "data_source": source}
+        clip = {"seq_fps": "30", "seq_nb_frames": "150", **(meta or {}), "time_offset_s": offset, "data_source": source}
         if srk is not None:
-            meta["src_record_key"] = srk
+            clip["src_record_key"] = srk
         src_meta = {"width": 1280 if seq != "s2" else None, "heigth": 720, "fps": "29.97", "nb_frames": "150",
                     "nb_streams": "1", "bit_rate": "1000", "duration": "5.0", "size": "1234", "bits_per_raw_sample": "8"}
         if seq == "s5":
             src_meta["extra_field"] = "only here"
         with open(os.path.join(d, f"{seq}.json"), "w") as f:
-            json.dump({"metadata": meta, "src_metadata": src_meta}, f)
+            json.dump({"metadata": clip, "src_metadata": src_meta}, f)
         with open(os.path.join(d, "seq_mp4", f"{seq}.mp4"), "wb") as f:
             f.write(video)
         with open(os.path.join(d, "seq_zip", f"{seq}.zip"), "wb") as f:
             f.write(b"zip-" + seq.encode())
         with open(os.path.join(d, "mapp_metadata", f"{seq}.json"), "w") as f:
-            f.write(json.dumps([_frame(i, seq) for i in range(1, 5)]).replace('"NaN"', "NaN"))
+            f.write(json.dumps([_frame(i, seq) for i in range(1, n_frames + 1)]).replace('"NaN"', "NaN"))
     os.makedirs(labels, exist_ok=True)
-    for name, doc in (label_docs or LABEL_DOCS).items():
+    for name, doc in (LABEL_DOCS if label_docs is None else label_docs).items():
         with open(os.path.join(labels, name), "w") as f:
             json.dump(doc, f)
     onto = os.path.join(root, "ontology.csv")
