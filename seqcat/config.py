@@ -162,19 +162,15 @@ LABEL_DOCUMENT_RENAMES = {
 # Engine settings (ours, not part of the original results)
 # ---------------------------------------------------------------------------
 
-# Order-preserving value blocks used to split one hot group over many tasks
-# in exact per-group ranking (median, row numbers).
-RANK_BLOCKS = 64
-
-# Groups with more rows than this are hot: they leave the single-pass hash
-# aggregates / plain windows (whose per-group state grows with the group) for
-# the block-split path.  At most total_rows / HOT_GROUP_ROWS keys can be hot.
+# Groups with more rows than this are hot: they leave the single-pass hash aggregates / plain windows (whose per-group
+# state grows with the group) for plans that spread a group over tasks (``operators/ranks.py``).
 HOT_GROUP_ROWS = 1_000_000
 
-# With at most this many hot groups, block bounds are computed per hot group
-# (each hot group is split evenly); with more, per value column.
-PER_GROUP_BOUNDS_MAX = 16
-RANK_BOUNDS_ACCURACY = 1000
+# Keys that the frequent-items sketch of the hot-group detection tracks: at most so many can be hot.
+SKETCH_ITEMS = 65_536
+
+# Bins that a round of the median selection counts per group and column.
+MEDIAN_BINS = 4096
 
 # A dimension is broadcast only when its row count is at most this.
 BROADCAST_MAX_ROWS = 1_000_000

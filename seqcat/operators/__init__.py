@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators (use with ``df.transform``)."""
 
 from seqcat.operators._join import null_safe_join
-from seqcat.operators.blocks import exact_row_number
+from seqcat.operators.ranks import exact_row_number
 from seqcat.operators.boxes import bbox_polygon, bbox_rect, bbox_union
 from seqcat.operators.filters import source_allowlist
 from seqcat.operators.incremental import append_union, skip_done, skip_done_files

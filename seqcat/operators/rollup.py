@@ -1,9 +1,8 @@
 """Frames -> one row per sequence.
 
-Mode and upper median are exact and built from a per-(group, column, value)
-histogram, so they are partial-aggregated on the map side and never hold a
-whole group in one task (see ``blocks``).  Many columns are handled in one
-pass by unpivoting them into ``(group, _col, _v)`` rows.
+Mode and upper median are exact.  Groups of at most ``HOT_GROUP_ROWS`` rows take one hash aggregate; larger ones
+are counted (modes per value, medians per bin, see ``ranks``), which is partial-aggregated on the map side and never holds
+a whole group in one task.  Many columns are handled in one pass by unpivoting them into ``(group, _col, _v)`` rows.
 """
 
 from pyspark.sql import DataFrame
@@ -12,9 +11,8 @@ from pyspark.sql import types as T
 
 from seqcat import config as C
 from seqcat.operators._join import null_safe_join
-from seqcat.operators.blocks import TOTAL, select_rank_from_histogram
+from seqcat.operators.ranks import select_ranks
 from seqcat.operators.skew import hot_key_table, split_hot
-from seqcat.session import ensure_checkpoint_dir
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -50,28 +48,16 @@ def grouped_modes(df: DataFrame, key, cols, ignore=C.MODE_IGNORED) -> DataFrame:
     return hist.groupBy(*keys).agg(*[F.min(F.when(F.col("_col") == c, best)).getField("v").alias(c) for c in cols])
 
 
-def grouped_upper_medians(df: DataFrame, key, cols, n_blocks: int = C.RANK_BLOCKS,
-                          bounds_per_group: bool = False, checkpoint: bool = True) -> DataFrame:
+def grouped_upper_medians(df: DataFrame, key, cols, bins: int = C.MEDIAN_BINS) -> DataFrame:
     """Upper median per group of each column: ``sorted(v)[n // 2]`` over values that are not null, NaN or 0.
 
-    No interpolation (``F.median`` would interpolate).  ``bounds_per_group``
-    computes block bounds per (group, column) instead of per column: use it
-    only when ``df`` holds few groups (e.g. the hot ones).  The histogram feeds
-    both the bounds job and the ranking, so by default it is checkpointed once
-    (to the shared checkpoint folder, which also cuts its lineage).
+    No interpolation (``F.median`` would interpolate), no lists: the ranks are selected by counting (``ranks``).  Meant for few
+    groups (the hot ones): the ranges still open, one row per group and column, are broadcast each round.
     """
     keys, cols = _keys(key), list(cols)
-    long = _long(df, keys, cols, "double")
     v = F.col("_v")
-    hist = (long.where(v.isNotNull() & ~F.isnan(v) & (v != 0.0))
-            .groupBy(*keys, "_col", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        hist = hist.checkpoint()
-    bound_keys = [*keys, "_col"] if bounds_per_group else ["_col"]
-    picked = select_rank_from_histogram(hist, [*keys, "_col"], "_v", "_c", F.floor(F.col(TOTAL) / 2),
-                                        bound_keys=bound_keys, n_blocks=n_blocks,
-                                        broadcast_offsets=bounds_per_group)
+    long = _long(df, keys, cols, "double").where(v.isNotNull() & ~F.isnan(v) & (v != 0.0))
+    picked = select_ranks(long, [*keys, "_col"], "_v", F.floor(F.col("_n") / 2), bins)
     return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_col") == c, v)).alias(c) for c in cols])
 
 
@@ -99,25 +85,23 @@ def _single_pass(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col)
     return out if count_col else out.drop("_rows")
 
 
-def _block_path(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col, n_blocks,
-                per_group: bool = False) -> DataFrame:
-    """Histogram/block roll-up for hot groups (never one task or one map per group)."""
+def _spread_path(df: DataFrame, keys, mode_cols, median_cols, ignore, count_col, bins: int) -> DataFrame:
+    """Roll-up of hot groups by counting (never one task, one map or one list per group)."""
     out = frame_count(df, keys, count_col or "_rows")
     if mode_cols:
         out = null_safe_join(out, grouped_modes(df, keys, mode_cols, ignore), keys, "left")
     if median_cols:
-        out = null_safe_join(out, grouped_upper_medians(df, keys, median_cols, n_blocks, per_group), keys, "left")
+        out = null_safe_join(out, grouped_upper_medians(df, keys, median_cols, bins), keys, "left")
     out = out.select(*keys, count_col or "_rows", *mode_cols, *median_cols)
     return out if count_col else out.drop("_rows")
 
 
 def rollup(df: DataFrame, key, mode_cols=(), median_cols=(), *, ignore=C.MODE_IGNORED,
            count_col: str | None = "frame_count", hot_threshold: int = C.HOT_GROUP_ROWS,
-           n_blocks: int = C.RANK_BLOCKS) -> DataFrame:
+           n_blocks: int = C.MEDIAN_BINS) -> DataFrame:
     """Per group: row count, clean mode of ``mode_cols``, upper median of ``median_cols``.
 
-    Groups above ``hot_threshold`` rows are split off (their key list is
-    bounded by rows / threshold) and rolled up by the block path; the rest in
+    Groups above ``hot_threshold`` rows are split off and rolled up by counting (``n_blocks`` bins a round); the rest in
     one hash aggregate.  Without hot groups the plan is a single shuffle.
     """
     keys, mode_cols, median_cols = _keys(key), list(mode_cols), list(median_cols)
@@ -126,8 +110,7 @@ def rollup(df: DataFrame, key, mode_cols=(), median_cols=(), *, ignore=C.MODE_IG
         return _single_pass(df, keys, mode_cols, median_cols, ignore, count_col)
     cold_df, hot_df = split_hot(df, keys, hot)
     cold = _single_pass(cold_df, keys, mode_cols, median_cols, ignore, count_col)
-    few = hot.limit(C.PER_GROUP_BOUNDS_MAX + 1).count() <= C.PER_GROUP_BOUNDS_MAX
-    return cold.unionByName(_block_path(hot_df, keys, mode_cols, median_cols, ignore, count_col, n_blocks, few))
+    return cold.unionByName(_spread_path(hot_df, keys, mode_cols, median_cols, ignore, count_col, n_blocks))
 
 
 def mode_clean(df: DataFrame, key, col: str, out: str | None = None, **kw) -> DataFrame:

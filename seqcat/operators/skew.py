@@ -1,53 +1,38 @@
 """Hot-group detection.
 
-A group with more than ``threshold`` rows is *hot*.  There can be at most
-``total_rows / threshold`` hot groups, so their key list has a proven size
-bound and is broadcast.  Cold groups use single-pass hash aggregates or plain
-windows (per-group state at most ``threshold`` values); hot groups take the
-block-split path of ``blocks``.
+A group with more than ``threshold`` rows is *hot*.  One frequent-items sketch over the key hashes (merged from the
+tasks, no shuffle by key) names at most ``SKETCH_ITEMS`` candidates; only their rows are counted exactly.  The sketch holds every
+key with more than rows / (0.75 x ``SKETCH_ITEMS``) rows, so up to 49 billion rows at the default threshold no hot
+group escapes it; beyond that a group counts as hot from that share on.  Being hot or not changes the plan, never the result.
+
+The table of hot keys has at most ``SKETCH_ITEMS`` rows, so it may be broadcast.  Nothing is collected.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqcat import config as C
 from seqcat.operators._join import null_safe_join
+from seqcat.session import stored_counted
 
 
 def hot_key_table(df: DataFrame, keys, threshold: int) -> DataFrame | None:
-    """Keys of groups with more than ``threshold`` rows, or None when there are none.
-
-    One partial-aggregated count job; the result has at most rows/threshold keys.
-    """
-    keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > threshold).select(*keys).collect()
-    if not hot:
+    """Keys of groups with more than ``threshold`` rows as a stored table, or None when there are none."""
+    keys, n = list(keys), C.SKETCH_ITEMS
+    if df.count() <= threshold:  # no group is larger than the table
         return None
-    schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame(hot, schema)
-
-
-# Up to this many hot keys (single key column) the split is an ``IN`` predicate
-# pushed into the scan instead of a broadcast semi/anti join.
-INLINE_KEYS_MAX = 1000
+    hashed = df.select(F.xxhash64(*keys).alias("_h"))
+    top = hashed.agg(F.expr(f"approx_top_k(_h, {n}, {n})").alias("_top")).select(F.inline("_top"))  # estimates are never too low
+    top, found = stored_counted(top.where(F.col("count") > threshold).select(F.col("item").alias("_item")), "hot-candidates")
+    if not found:
+        return None
+    rows = df.select(*keys).join(F.broadcast(top), F.xxhash64(*keys) == F.col("_item"), "left_semi")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot, found = stored_counted(counts.where(F.col("_rows") > threshold).select(*keys), "hot-keys")
+    return hot if found else None
 
 
 def split_hot(df: DataFrame, keys, hot: DataFrame):
-    """``(cold_rows, hot_rows)`` of ``df`` by the hot keys (null-safe).
-
-    A short single-column key list becomes an ``IN`` predicate; otherwise a
-    broadcast semi/anti join (the list is bounded by rows / threshold).
-    """
-    keys = list(keys)
-    if len(keys) == 1:
-        values = [r[0] for r in hot.limit(INLINE_KEYS_MAX + 1).collect()]
-        if len(values) <= INLINE_KEYS_MAX:
-            k = F.col(keys[0])
-            present = [v for v in values if v is not None]
-            is_hot = k.isin(present) if present else F.lit(False)
-            if len(present) < len(values):
-                is_hot = is_hot | k.isNull()
-            is_hot = F.coalesce(is_hot, F.lit(False))
-            return df.where(~is_hot), df.where(is_hot)
+    """``(cold_rows, hot_rows)`` of ``df`` by the hot keys (null-safe broadcast joins, see above for their number)."""
     small = F.broadcast(hot)
     return null_safe_join(df, small, keys, "left_anti"), null_safe_join(df, small, keys, "left_semi")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqcat.operators._join import null_safe_join
-from seqcat.operators.blocks import exact_row_number
+from seqcat.operators.ranks import exact_row_number
 
 
 def _keys(key):

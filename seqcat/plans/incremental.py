@@ -34,7 +34,7 @@ from seqcat.plans.annotations import (
 )
 from seqcat.plans.sequences import enrich, merge_catalogue, sequence_table, split
 from seqcat.plans.telemetry import flat_frames, sequences_from_frames
-from seqcat.session import scratch_dir
+from seqcat.session import stored
 from seqcat.sources import (
     dim_read,
     label_documents,
@@ -62,13 +62,6 @@ def _new_names(listing: DataFrame, runs: Runs, table: str, column: str) -> list[
     return sorted(r[0] for r in new.select(column).distinct().collect())
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return null_safe_join(df, keys.select(column).distinct(), [column], "left_semi")
 
@@ -82,7 +75,7 @@ def _take_in_batches(runs: Runs, spark: SparkSession, root: str, batches: list[s
     runs.append("videos", only(video_files(spark, root, where)))
     runs.append("stills", only(still_files(spark, root, where)))
     runs.append("descriptions", only(sequence_documents(spark, root, where)))
-    telemetry = _kept(only(telemetry_documents(spark, root, where)), "telemetry-documents")
+    telemetry = stored(only(telemetry_documents(spark, root, where)), "telemetry-documents")
     runs.append("frames_flat", flat_frames(telemetry, frame_schema), partition_by="batch_path")
     frames = runs.new_rows("frames_flat")
     held = [c for c in C.GLOBAL_AVERAGE_COLUMNS if c in frames.columns]
@@ -95,11 +88,11 @@ def _take_in_batches(runs: Runs, spark: SparkSession, root: str, batches: list[s
 def _roll_up_frames(runs: Runs) -> DataFrame:
     """Telemetry of the sequences with new frames, over all their frames; returns these sequences.  Only the batch folders that
     hold frames of them are read."""
-    touched = _kept(runs.new_rows("frame_batches").select(_ID).distinct(), "sequences-with-new-frames")
+    touched = stored(runs.new_rows("frame_batches").select(_ID).distinct(), "sequences-with-new-frames")
     held = runs.rows("frame_batches")
-    folders = _kept(_of(held, touched, _ID).select("batch_path").distinct(), "batches-with-their-frames")
+    folders = stored(_of(held, touched, _ID).select("batch_path").distinct(), "batches-with-their-frames")
     frames = runs.rows("frames_flat").join(folders, "batch_path", "left_semi")
-    frames = starts_and_ends(_kept(_of(frames, touched, _ID), "their-frames"), _ID, "sequence_frame", C.START_END_COLUMNS, last=C.LAST_FRAME)
+    frames = starts_and_ends(stored(_of(frames, touched, _ID), "their-frames"), _ID, "sequence_frame", C.START_END_COLUMNS, last=C.LAST_FRAME)
     runs.replace("telemetry", _ID, touched, sequences_from_frames(frames))
     return touched
 
@@ -109,10 +102,10 @@ def _take_in_labels(runs: Runs, spark: SparkSession, folder: str, names: list[st
     if not names and runs.has("label_rows"):
         return None, 0
     docs = label_documents(spark, folder, names) if names else label_documents(spark, folder).limit(0)
-    docs = _kept(docs, "label-documents")
+    docs = stored(docs, "label-documents")
     runs.append("annotations", annotation_rows(docs))
     runs.append("label_tasks", label_tasks(docs))
-    touched = _kept(runs.new_rows("label_tasks").select(_ID).distinct(), "sequences-with-new-labels")
+    touched = stored(runs.new_rows("label_tasks").select(_ID).distinct(), "sequences-with-new-labels")
     rows = keep_newest_documents(_of(runs.rows("annotations"), touched, _ID), _of(runs.rows("label_tasks"), touched, _ID))
     runs.replace("label_rows", _ID, touched, rows)
     return touched, malformed_documents(docs).count()
@@ -125,9 +118,9 @@ def _descriptions(runs: Runs, seq_schema) -> DataFrame:
 def _touched_batches(runs: Runs, seq: DataFrame, touched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(batches to write, batches to work them out from), each a stored table (batch_path)."""
     spark = seq.sparkSession
-    keyed = _kept(seq.select(_ID, "batch_path", F.col("src_record_key") if "src_record_key" in seq.columns
+    keyed = stored(seq.select(_ID, "batch_path", F.col("src_record_key") if "src_record_key" in seq.columns
                              else F.lit(None).cast("string").alias("src_record_key")).distinct(), "clips")
-    own = _kept(_of(keyed, touched, _ID), "touched-clips")  # new descriptions and those they supersede
+    own = stored(_of(keyed, touched, _ID), "touched-clips")  # new descriptions and those they supersede
     videos = runs.rows("videos").where(F.col("md5_hash").isNotNull()).select(_ID, "md5_hash")
     copies = _of(videos, _of(videos, touched, _ID), "md5_hash").select(_ID)
     in_batch = _of(keyed, own, "batch_path").where(F.col("src_record_key").isNotNull()).select("src_record_key")
@@ -135,17 +128,17 @@ def _touched_batches(runs: Runs, seq: DataFrame, touched: DataFrame) -> tuple[Da
     records = in_batch.union(no_record)
     write = (own.select("batch_path").union(_of(keyed, copies, _ID).select("batch_path"))
              .union(_of(keyed, records, "src_record_key").select("batch_path")).distinct())
-    write = _kept(write, "batches-to-write")
+    write = stored(write, "batches-to-write")
     near = _of(keyed, write, "batch_path").where(F.col("src_record_key").isNotNull()).select("src_record_key")
     read = write.union(_of(keyed, near, "src_record_key").select("batch_path")).distinct()
-    return write, _kept(read, "batches-to-read")
+    return write, stored(read, "batches-to-read")
 
 
 def _rework_sequences(runs: Runs, seq: DataFrame, touched: DataFrame) -> DataFrame:
     """Write the sequences of every batch that the touched clips change; returns those batches."""
     write, read = _touched_batches(runs, seq, touched)
     merged = merge_catalogue(seq, runs.current("telemetry", _ID), runs.rows("stills"), runs.rows("videos"))
-    merged = _kept(_of(merged, read.withColumnRenamed("batch_path", "seq_metadata_batch_path"), "seq_metadata_batch_path"), "merged")
+    merged = stored(_of(merged, read.withColumnRenamed("batch_path", "seq_metadata_batch_path"), "seq_metadata_batch_path"), "merged")
     batches = write.withColumnRenamed("batch_path", "batch")
     rows = _of(split(enrich(merged)), batches, "batch").sortWithinPartitions("batch", "src_record_key", "time_offset_s")
     runs.replace("sequences", "batch", batches, rows, partition_by="batch")
@@ -195,7 +188,7 @@ def _update(spark, runs: Runs, raw_root, label_folder, ontology_csv, batches, na
     if labelled is not None:
         named = _of(sequences.select(_ID, "batch"), labelled, _ID).select("batch")
         rewritten = named if rewritten is None else rewritten.union(named)
-    rewritten = _kept(rewritten.distinct(), "catalogue-batches")
+    rewritten = stored(rewritten.distinct(), "catalogue-batches")
     rows = _of(sequences, rewritten, "batch")
     labels = _labels(spark, runs, ontology_csv)
     runs.replace("catalogue", "batch", rewritten, sequences_with_labels(rows, _of(labels, rows, _ID)), partition_by="batch")

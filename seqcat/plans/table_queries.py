@@ -540,9 +540,8 @@ def q_split_hash(spark, d):
 
 
 # Murmur3 (32 bit, seed 42) of the key's UTF-8 bytes: little-endian words, then each left-over byte, sign-extended
-_MURMUR3_SQL = f"""
-WITH k AS ({_SPLIT_KEY_SQL}),
-b AS (SELECT *, hex(encode(split_key)) AS h, length(hex(encode(split_key))) // 2 AS n FROM k),
+MURMUR3 = """
+WITH b AS (SELECT {columns}, hex(encode({key})) AS h, length(hex(encode({key}))) // 2 AS n FROM {source}),
 l AS (SELECT *, list_transform(range(n), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::UBIGINT) AS y FROM b),
 w AS (SELECT *, list_concat(
     list_transform(range(n // 4), lambda i: y[4 * i + 1] + 256 * y[4 * i + 2] + 65536 * y[4 * i + 3] + 16777216 * y[4 * i + 4]),
@@ -555,7 +554,8 @@ e1 AS (SELECT *, xor(folded, n::UBIGINT) AS a1 FROM f),
 e2 AS (SELECT *, (xor(a1, a1 >> 16) * 2246822507) & 4294967295 AS a2 FROM e1),
 e3 AS (SELECT *, (xor(a2, a2 >> 13) * 3266489909) & 4294967295 AS a3 FROM e2),
 e4 AS (SELECT *, xor(a3, a3 >> 16)::BIGINT AS a4 FROM e3)
-SELECT c_custkey, split_key, (abs(CASE WHEN a4 > 2147483647 THEN a4 - 4294967296 ELSE a4 END) % 1000)::INT AS split_bucket FROM e4"""
+SELECT {columns}, (abs(CASE WHEN a4 > 2147483647 THEN a4 - 4294967296 ELSE a4 END) % 1000)::INT AS split_bucket FROM e4"""
+_MURMUR3_SQL = MURMUR3.format(source=f"({_SPLIT_KEY_SQL})", key="split_key", columns="c_custkey, split_key")
 
 
 @register("split_hash_murmur3", _MURMUR3_SQL)

@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -25,6 +26,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/seqcat/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: lineage is cut, and what is read twice is worked out once."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_counted(df: DataFrame, name: str, which=None) -> tuple[DataFrame, int]:
+    """``stored``, and the number of its rows (those where ``which`` is true), counted while they are written."""
+    seen = Observation()
+    rows = F.count(F.lit(1)) if which is None else F.count(F.when(which, F.lit(1)))
+    return stored(df.observe(seen, rows.alias("n")), name), seen.get["n"]
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable: the cluster's ``spark.checkpoint.dir`` is picked up by
     Spark itself; only an unset setting in local mode gets a temporary folder."""

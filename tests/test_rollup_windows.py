@@ -188,7 +188,7 @@ def test_blocked_ranks_across_dst_gap(spark):
 
 
 def test_blocked_ranks_split_a_huge_tie(spark):
-    from seqcat.operators.blocks import BLOCK, with_tie_split_blocks
+    from seqcat.operators.ranks import range_placed
     # 70% of the rows share one timestamp: the tie must be split by the second order column
     df = spark.sql("""SELECT 'g' AS k, i, CASE WHEN i % 10 < 7 THEN TIMESTAMP_NTZ'2024-01-01 00:00:00'
                       ELSE timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-01 00:00:00') END AS t FROM range(2000) AS r(i)""")
@@ -196,9 +196,55 @@ def test_blocked_ranks_split_a_huge_tie(spark):
         a = exact_row_number(df, ["k"], ["t", "i"], out="r", descending=desc)
         b = exact_row_number(df, ["k"], ["t", "i"], out="r", descending=desc, hot_threshold=10, n_blocks=8)
         assert _sorted(a) == _sorted(b)
-    blocks = with_tie_split_blocks(df, "t", "i", bound_keys=["k"], n_blocks=8)
-    tied = blocks.where(F.col("t") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    assert tied.select(BLOCK).distinct().count() >= 4
+    placed = range_placed(df, ["k"], [F.col("t"), F.col("i")], 8)
+    tied = placed.where(F.col("t") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    assert tied.select("_part").distinct().count() >= 4
+
+
+def test_row_numbers_by_text_and_nulls_spread_a_hot_group(spark):
+    from seqcat.operators.ranks import range_placed
+    # one group: ordered by text; 90 % null in the first column; equal rows; and a null key
+    df = spark.sql("""SELECT CASE WHEN i < 4000 THEN 'g' END AS k, CASE WHEN i % 10 = 0 THEN concat('t', i % 97, 'é') END AS a,
+                      concat('name ', i % 1000) AS b, CAST(NULL AS map<string, int>) AS m, i - i % 2 AS i FROM range(4400) AS r(i)""")
+    for order in (["a", "b", "i"], ["b", "i"]):
+        for desc in (False, True):
+            a = exact_row_number(df, ["k"], order, out="r", descending=desc).drop("m")
+            b = exact_row_number(df, ["k"], order, out="r", descending=desc, hot_threshold=300, n_blocks=16).drop("m")
+            assert _sorted_nulls(a) == _sorted_nulls(b)
+        sizes = range_placed(df, ["k"], [F.col(c) for c in order], 16).groupBy("_part").count().collect()
+        assert len(sizes) >= 12 and max(r["count"] for r in sizes) < 4400 / 5
+
+
+def _sorted_nulls(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+def test_hot_keys_without_a_full_count(spark):
+    from seqcat.operators.skew import hot_key_table, split_hot
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        F.when(F.col("event_id") % 9 != 0, F.col("user_id")).alias("user_id"), "event_type", "value")
+    for keys, threshold in ((["user_id"], 40), (["user_id", "event_type"], 12), (["event_type"], 10 ** 6), (["user_id"], 0)):
+        want = ev.groupBy(*keys).count().where(F.col("count") > threshold).drop("count")
+        hot = hot_key_table(ev, keys, threshold)
+        assert _sorted_nulls(want) == ([] if hot is None else _sorted_nulls(hot))
+        if hot is not None:
+            cold_rows, hot_rows = split_hot(ev, keys, hot)
+            assert cold_rows.count() + hot_rows.count() == ev.count() and cold_rows.groupBy(*keys).count().where(F.col("count") > threshold).isEmpty()
+
+
+def test_selected_ranks_on_odd_doubles(spark):
+    from seqcat.operators.ranks import select_ranks
+    import random
+    r = random.Random(4)
+    inf, tiny = float("inf"), 5e-324
+    groups = {"one": [3.0], "same": [2.5] * 9, "two": [1.0, 2.0], "ends": [-inf, inf, 1.0, -inf], "infs": [inf] * 3 + [1.0], "huge": [-1.7e308, 1.7e308, 1e300, 5.0],
+              "tiny": [tiny * k for k in range(1, 60)], "near": [1.0 + k * 2.0 ** -52 for k in range(300)],
+              "spread": [r.choice([-1, 1]) * 10.0 ** r.uniform(-300, 300) for _ in range(500)], "skew": [1e-9 * k for k in range(400)] + [1e9],
+              "ties": [float(r.randint(1, 4)) for _ in range(200)], None: [-0.5, 0.25, 7.0]}
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    for bins in (32, 4096):
+        got = select_ranks(spark.createDataFrame(rows, "k string, v double").repartition(3), ["k"], "v", F.floor(F.col("_n") / 2), bins)
+        assert {x["k"]: x["v"] for x in got.collect()} == {k: sorted(vs)[len(vs) // 2] for k, vs in groups.items()}
 
 
 def test_dupe_members(spark):
