@@ -97,9 +97,59 @@ def explode_frames(df: DataFrame, col: str = "src_json", schema=None, *, outer:
     return explode_array(parsed, col, outer=outer)
 
 
-def frame_texts(col: str = "src_json"):
-    """JSON texts of a telemetry document's frames (an array of objects, or one object); null if it is malformed."""
-    return F.coalesce(F.from_json(col, "array<string>"), F.when(_is_object(col), F.array(col)))
+# A string of a JSON text, or what lies between two; and a bare NaN or infinity, which JSON does not have but the documents use.
+_PIECE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|[^"]++)'
+_BARE = r"[-+]?\b(?:NaN|Infinity|INF)\b"
+
+
+def document_variant(col: str = "src_json"):
+    """The document as a variant, which keeps every digit of its numbers (up to 38); bare NaN and infinities become
+    text.  Null if the text is no JSON."""
+    pieces = F.regexp_extract_all(col, F.lit(_PIECE), F.lit(1))
+    quoted = F.array_join(F.transform(pieces, lambda p: F.when(p.startswith('"'), p).otherwise(
+        F.regexp_replace(p, _BARE, '"$0"'))), "")
+    return F.coalesce(F.try_parse_json(col), F.try_parse_json(quoted))
+
+
+def is_object(v):
+    """True for a variant that holds a JSON object (never null)."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
+def document_elements(v):
+    """The frames of a document variant (an array's elements, or the one object); null if it is neither."""
+    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(is_object(v), F.array(v)))
+
+
+NO_JSON, NO_FRAMES, NO_OBJECT = "no JSON", "neither array nor object", "element is no object"
+
+
+def tagged_frames(docs: DataFrame, col: str = "src_json") -> DataFrame:
+    """One row per element of each telemetry document, parsed once: ``frame`` (a variant) where it is a frame, else ``reason`` and
+    ``rejected`` (its text).  A document without any element to tell (no JSON, neither array nor object) is one
+    rejected row; an empty array gives none."""
+    entry = lambda reason, frame, text: F.struct(
+        reason.cast("string").alias("reason"), frame.cast("variant").alias("frame"), text.cast("string").alias("rejected"))
+    nothing = F.lit(None)
+    parsed = docs.withColumn("_doc", document_variant(col))
+    elements = document_elements(F.col("_doc"))
+    per_element = F.transform(elements, lambda e: F.when(is_object(e), entry(nothing, e, nothing)).otherwise(
+        entry(F.lit(NO_OBJECT), nothing, F.to_json(e))))
+    reason = F.when(F.col("_doc").isNull(), F.lit(NO_JSON)).otherwise(F.lit(NO_FRAMES))
+    whole = F.array(entry(reason, nothing, F.col(col)))
+    out = parsed.withColumn("_entry", F.explode(F.coalesce(per_element, whole)))
+    return out.select(*docs.columns, "_entry.*")
+
+
+def typed_variant(v, dtype: T.DataType, path: str = "$"):
+    """Columns of ``dtype`` out of a variant: a number written as text is a number, text takes numbers as they are written."""
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[typed_variant(v, f.dataType, f"{path}[{_quoted(f.name)}]").alias(f.name) for f in dtype.fields])
+    return F.try_variant_get(v, path, dtype.simpleString())
+
+
+def _quoted(name: str) -> str:
+    return "'" + name + "'" if "'" not in name else '"' + name + '"'
 
 
 def _is_object(col: str):
@@ -110,16 +160,16 @@ def _is_object(col: str):
 def malformed_documents(docs: DataFrame, col: str = "src_json", *, array: bool = False) -> DataFrame:
     """Documents whose text is null, no JSON, or neither an object nor (with ``array``) an array: exploding them
     gives no row, so count these next to the result."""
-    return docs.where(frame_texts(col).isNull() if array else ~_is_object(col))
+    return docs.where(document_elements(document_variant(col)).isNull() if array else ~_is_object(col))
 
 
 def open_frame_schema(frames: DataFrame, declared: T.StructType, col: str = "src_json",
                       parts=("feed", "platform")) -> T.StructType:
     """``declared`` with every further field of ``parts`` that any frame text in ``col`` has (one aggregate over all
     frames).  Declared types stay; of names that differ in case only, the first stays."""
-    # JSON has no bare NaN, which the documents do use: for the types alone, null stands for it
-    plain = F.regexp_replace(col, r"([:\[,]\s*)[-+]?(?:NaN|Infinity|INF)\b", "$1null")
-    texts = frames.where(F.ltrim(F.col(col)).startswith("{")).select(plain.alias(col))
+    # a number that is not finite stands as text: for the types alone, null takes its place
+    plain = F.regexp_replace(col, r'([:\[,])"?[-+]?(?:NaN|Infinity|INF)"?(?=[,}\]])', "$1null")
+    texts = frames.select(plain.alias(col))
     seen = T.DataType.fromDDL(infer_json_schema(texts, col))
     fields = []
     for f in declared.fields:

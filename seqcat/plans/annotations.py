@@ -8,7 +8,7 @@ from seqcat import schemas
 from seqcat.functions.times import ingest_date
 from seqcat.operators._join import null_safe_join
 from seqcat.operators.boxes import bbox_union
-from seqcat.operators.incremental import append_union
+from seqcat.operators.incremental import append_union, skip_done
 from seqcat.operators.joins import add_ontology
 from seqcat.operators.jsonx import parse_json
 from seqcat.operators.labels import (
@@ -69,14 +69,15 @@ def labels_from_documents(docs: DataFrame, old: DataFrame | None = None, schema=
 
     With ``old`` rows and ``old_tasks`` (``label_tasks`` of the documents behind them), versions are decided over old
     and new documents, so the result equals one run over all of them.  Without ``old_tasks`` the stored versions of
-    the old rows stand in: old documents without annotations are unknown then.  ``key_cols`` builds ``primary_key``
-    (add ``object_id`` for a key per object).
+    the old rows stand in: old documents without annotations are unknown then.  A document that is among the old ones
+    (same ``filepath``) adds nothing.  ``key_cols`` builds ``primary_key`` (add ``object_id`` for a key per object).
     """
-    rows = bbox_union(annotation_rows(docs, schema, key_cols))
     if old is None:
-        return rows
+        return bbox_union(annotation_rows(docs, schema, key_cols))
     if old_tasks is None:
         old_tasks = old.groupBy("sequence_id", *_ORDER).agg(F.max("label_version").cast("long").alias("n"))
+    docs = skip_done(docs, old_tasks, "filepath")
+    rows = bbox_union(annotation_rows(docs, schema, key_cols))
     return keep_newest_documents(append_union(old, rows), old_tasks.unionByName(label_tasks(docs, schema)))
 
 

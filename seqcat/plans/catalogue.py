@@ -14,6 +14,7 @@ from seqcat.plans.annotations import (
 )
 from seqcat.plans.sequences import enrich, merge_catalogue, sequence_table, split
 from seqcat.plans.telemetry import flat_frames, frames_with_context, sequences_from_frames
+from seqcat.session import stored
 from seqcat.sources import (
     dim_read,
     label_documents,
@@ -49,7 +50,7 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     stage_write(still_files(spark, raw_root), paths["stills"])
 
     # JSON parsed once; start/end values and global averages read the stored frames
-    telemetry = telemetry_documents(spark, raw_root)
+    telemetry = stored(telemetry_documents(spark, raw_root), "telemetry-documents")
     stage_write(flat_frames(telemetry, frame_schema), paths["frames_flat"])
     stage_write(frames_with_context(stage_read(spark, paths["frames_flat"])), paths["frames"],
                 partition_by="batch_path")
@@ -61,12 +62,11 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     # stored: enrich reads it five times (per-batch max and both neighbour sides)
     stage_write(merged, paths["merged"])
     # batch folders (partition pruning); rows inside keep the recording/offset order of the clustering
-    sequences = split(enrich(stage_read(spark, paths["merged"]))).sortWithinPartitions(
-        "batch", "src_record_key", "time_offset_s")
-    stage_write(sequences, paths["sequences"], partition_by="batch")
+    sequences = split(enrich(stage_read(spark, paths["merged"])))
+    stage_write(sequences, paths["sequences"], partition_by="batch", sort_by=("src_record_key", "time_offset_s"))
 
     ontology = dim_read(spark, ontology_csv, schemas.ONTOLOGY)
-    docs = label_documents(spark, label_folder)
+    docs = stored(label_documents(spark, label_folder), "label-documents")
     # stored: boxes and the count of rejected annotations read it; the tasks decide versions in later runs
     stage_write(annotation_rows(docs), paths["annotations"])
     stage_write(label_tasks(docs), paths["label_tasks"])

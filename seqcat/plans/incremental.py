@@ -140,8 +140,8 @@ def _rework_sequences(runs: Runs, seq: DataFrame, touched: DataFrame) -> DataFra
     merged = merge_catalogue(seq, runs.current("telemetry", _ID), runs.rows("stills"), runs.rows("videos"))
     merged = stored(_of(merged, read.withColumnRenamed("batch_path", "seq_metadata_batch_path"), "seq_metadata_batch_path"), "merged")
     batches = write.withColumnRenamed("batch_path", "batch")
-    rows = _of(split(enrich(merged)), batches, "batch").sortWithinPartitions("batch", "src_record_key", "time_offset_s")
-    runs.replace("sequences", "batch", batches, rows, partition_by="batch")
+    rows = _of(split(enrich(merged)), batches, "batch")
+    runs.replace("sequences", "batch", batches, rows, partition_by="batch", sort_by=("src_record_key", "time_offset_s"))
     return batches
 
 

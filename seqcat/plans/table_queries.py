@@ -39,7 +39,7 @@ from seqcat.functions import (
     ts_cast,
 )
 from seqcat.functions.classify import clip_seconds
-from seqcat.operators.jsonx import JSON_OPTIONS, malformed_documents
+from seqcat.operators.jsonx import JSON_OPTIONS, malformed_documents, tagged_frames
 from seqcat.operators import (
     add_label_size,
     annotation_members,
@@ -106,7 +106,7 @@ from seqcat.sources import (
     stage_read,
     stage_write,
 )
-from seqcat.streaming import read_latest, stream_ingest, stream_latest
+from seqcat.streaming import fold_latest, read_epochs, read_latest, stream_ingest, stream_ingest_rejects, stream_latest
 
 # The driver runs the oracle side at this scale folder.
 ORACLE_DIR = "/root/testdata/sf0.01"
@@ -826,11 +826,12 @@ def q_incremental_batches(spark, d):
 @register("incremental_labels", """
 SELECT c.*, c.c_name || '.json' AS file_name FROM customer c WHERE NOT EXISTS (
   SELECT 1 FROM orders o JOIN customer c2 ON o.o_custkey = c2.c_custkey
-  WHERE c2.c_name || '.json' = c.c_name || '.json')""")
+  WHERE o.o_orderstatus = 'P' AND c2.c_name || '.json' = c.c_name || '.json')""")
 def q_incremental_labels(spark, d):
+    """Files of customers without an order in progress are new."""
     cu = tbl(spark, d, "customer")
     listing = cu.withColumn("file_name", F.concat(F.col("c_name"), F.lit(".json")))
-    done = tbl(spark, d, "orders").join(cu, F.col("o_custkey") == F.col("c_custkey")).select(
+    done = tbl(spark, d, "orders").where("o_orderstatus = 'P'").join(cu, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_name").alias("project_name"))
     return skip_done_files(listing, done)
 
@@ -1243,4 +1244,36 @@ def q_stream_latest(spark, d):
         slices[i].write.mode("append").parquet(src)
         stream_latest(spark, src, schema, sink, ckpt, key="user_id", order_cols=["ts", "event_id"],
                       state_partitions=spark.sparkContext.defaultParallelism)
+        if i == 1:  # the third epoch builds on the folded ones
+            fold_latest(spark, sink, "user_id", ["ts", "event_id"])
     return read_latest(spark, sink, "user_id", ["ts", "event_id"])
+
+
+@register("stream_ingest_rejects", """
+SELECT o_orderkey % 5 AS kind, CAST(NULL AS VARCHAR) AS reason, '{"n":' || o_orderkey || '.125}' AS text FROM orders WHERE o_orderkey % 5 < 3
+UNION ALL SELECT 1, 'element is no object', 'null' FROM orders WHERE o_orderkey % 5 = 1
+UNION ALL SELECT 1, 'element is no object', '5' FROM orders WHERE o_orderkey % 5 = 1
+UNION ALL SELECT 3, 'neither array nor object', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 5 = 3
+UNION ALL SELECT 4, 'no JSON', '[{"n":' || o_orderkey FROM orders WHERE o_orderkey % 5 = 4""")
+def q_stream_ingest_rejects(spark, d):
+    """Documents with and without frames, one an order, streamed in two slices and once more: frames and rejects."""
+    key = F.col("o_orderkey")
+    frame = F.concat(F.lit('{"n":'), key, F.lit(".125}"))
+    text = F.when(key % 5 == 0, frame).when(key % 5 == 1, F.concat(F.lit("["), frame, F.lit(", null, 5]"))).when(
+        key % 5 == 2, F.concat(F.lit("["), frame, F.lit("]"))).when(key % 5 == 3, key.cast("string")).otherwise(
+        F.concat(F.lit('[{"n":'), key))
+    docs = tbl(spark, d, "orders").select(key, (key % 5).alias("kind"), text.alias("src_json"))
+    src, sink, rejects, ckpt = (scratch_dir(spark, f"rejects-{x}") for x in ("src", "sink", "bad", "ckpt"))
+    tag = lambda df: tagged_frames(df).select("kind", "reason", F.coalesce(F.to_json("frame"), "rejected").alias("text"))
+    for part in (docs.where(key % 2 == 0), docs.where(key % 2 == 1), None):  # the last run finds nothing new
+        if part is not None:
+            part.drop("o_orderkey").write.mode("append").parquet(src)
+        stream_ingest_rejects(spark, src, "kind long, src_json string", sink, rejects, ckpt, tag=tag)
+    good = read_epochs(spark, sink).withColumn("reason", F.lit(None).cast("string"))
+    return good.unionByName(read_epochs(spark, rejects)).select("kind", "reason", "text")
+
+
+@register("file_mtime", f"SELECT {_BLOB_ID} AS sequence_id, CAST(epoch(last_modified) AS BIGINT) AS modified_s FROM {_BLOB}")
+def q_file_mtime(spark, d):
+    cat = file_catalogue(spark, f"{d.rstrip('/')}/*.parquet", batch_depth=2, first_per_dir=False)
+    return cat.select("sequence_id", F.unix_seconds("modified").alias("modified_s"))

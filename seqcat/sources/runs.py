@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from seqcat.operators._join import null_safe_join
 from seqcat.sources.folders import exists, remove, subfolders
+from seqcat.sources.tables import stage_write
 
 COMMIT = "run int, base int, schemas string"
 
@@ -72,10 +73,9 @@ class Runs:
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         self.committed = self.run
 
-    def _write(self, table: str, df: DataFrame, partition_by: str | None = None) -> None:
+    def _write(self, table: str, df: DataFrame, partition_by: str | None = None, sort_by=()) -> None:
         self.schemas[table] = _merged(self.schemas.get(table), df.schema, table)
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{table}/run={self.run}")
+        stage_write(df, f"{self.root}/{table}/run={self.run}", partition_by=partition_by, sort_by=sort_by)
 
     def _read(self, table: str) -> DataFrame:
         schema = T.StructType([*self.schemas[table].fields, T.StructField("run", T.IntegerType())])
@@ -98,10 +98,10 @@ class Runs:
         """The rows that the current run added."""
         return self._read(table).where(F.col("_run") == self.run).drop("_run")
 
-    def replace(self, table: str, key: str, keys: DataFrame, rows: DataFrame, partition_by: str | None = None) -> None:
+    def replace(self, table: str, key: str, keys: DataFrame, rows: DataFrame, partition_by: str | None = None, sort_by=()) -> None:
         """The new state of ``keys`` (one column): ``rows`` must hold those keys only."""
         self._write(f"{table}_keys", keys.select(key).distinct())
-        self._write(table, rows, partition_by)
+        self._write(table, rows, partition_by, sort_by)
 
     def current(self, table: str, key: str) -> DataFrame:
         """The rows of each key from the last run that names it.  Partitions of other runs are pruned where the

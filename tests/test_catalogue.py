@@ -1,5 +1,6 @@
 """Plans A, B, C end to end on a generated folder tree; sources; incremental labels."""
 
+import json
 import os
 
 import pytest
@@ -156,6 +157,29 @@ def test_incremental_labels_with_empty_newest_and_late_older(spark):
         old = labels_from_documents(part, old=old, old_tasks=old_tasks)
         old_tasks = label_tasks(part) if old_tasks is None else old_tasks.unionByName(label_tasks(part))
     assert sorted(old.select(cols).collect()) == full
+    again = labels_from_documents(table.where("filepath = 'a.json'"), old=old, old_tasks=old_tasks)  # taken in twice: nothing new
+    assert sorted(again.select(cols).collect()) == full
+
+
+def test_digits_text_numbers_and_elements_that_are_no_frame(spark):
+    from seqcat.plans.telemetry import flat_frames, rejected_frames
+    text = '[{"seq_frame":1,"feed":{"height_pix":"6","n":12345678901234567.125,"odd\'s":"x","note":"at: NaN"},"platform":{"altitude_ft":NaN},' \
+           '"all_fields":{"big":98765432109876543210.5,"slant_range":"2.5"}}, null, 5, "text", [1], {"seq_frame":"2","feed":{"n":"many"}}]'
+    docs = spark.createDataFrame([("x", text), ("cut", text[:50]), ("empty", "[]"), ("number", "7"), ("none", None)], "sequence_id string, src_json string")
+    rows = {r.sequence_frame: r for r in flat_frames(docs).collect()}
+    assert set(rows) == {1, 2}
+    r = rows[1]
+    assert r.height_pix == 6 and r.slant_range == 2.5 and r.altitude_ft is None and r["odd's"] == "x"
+    got = json.loads(r.src_json)
+    assert got["feed"]["note"].startswith("at: ") and r.n is not None and rows[2].n == "many"
+    plain = docs.withColumn("src_json", F.replace("src_json", F.lit("NaN"), F.lit("1")))  # without a bare NaN every digit stays
+    r = flat_frames(plain).where("sequence_frame = 1").first()
+    assert '"n":12345678901234567.125' in r.src_json and r.all_fields == '{"big":98765432109876543210.5,"slant_range":"2.5"}'
+    assert r.n == "12345678901234567.125" and r.altitude_ft == 1.0
+    rejects = sorted((r.sequence_id, r.reason, r.rejected) for r in rejected_frames(docs).where("rejected is not null").collect())
+    assert rejects == sorted([("x", "element is no object", e) for e in ("null", "5", '"text"', "[1]")] + [
+        ("cut", "no JSON", text[:50]), ("number", "neither array nor object", "7")])
+    assert rejected_frames(docs).where("sequence_id = 'none'").first().reason == "no JSON"
 
 
 def test_open_fields_and_malformed_documents(spark):
@@ -171,7 +195,8 @@ def test_open_fields_and_malformed_documents(spark):
     r = rows["x", 1]
     assert (r.VARIANT_ID, r.OBJECT, r.speed, r.platform_speed, r.a_b) == ("v", 1.5, 2, 3, "p")
     kept = '{"odd":1.5,"slant_range":"NaN"}'  # written anew: same fields and values, bare NaN quoted
-    assert r.src_json == first.replace('{"odd": 1.50,"slant_range":NaN}', kept) and r.all_fields == kept and r.slant_range is None
+    want = json.loads(first.replace('{"odd": 1.50,"slant_range":NaN}', kept))
+    assert json.loads(r.src_json) == want and r.all_fields == kept and r.slant_range is None
     assert rows["x", 2].only_here == 7 == rows["one", 2].only_here and rows["one", 2].height_pix == 720
     bad = {"cut", "half", "text", "none"}
     assert {r.sequence_id for r in malformed_documents(docs, array=True).collect()} == bad
