@@ -171,6 +171,3 @@ SKETCH_ITEMS = 65_536
 
 # Bins that a round of the median selection counts per group and column.
 MEDIAN_BINS = 4096
-
-# A dimension is broadcast only when its row count is at most this.
-BROADCAST_MAX_ROWS = 1_000_000
