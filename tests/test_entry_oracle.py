@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 QUERIES = table_queries.QUERIES
 SQL = table_queries.ORACLE
 # oracle SQL of file-listing queries is pinned to the driver's sf0.01 folder
-FILE_KEYS = {"src_video_files", "src_still_files", "file_md5"}
+FILE_KEYS = {"src_video_files", "src_still_files", "file_md5", "file_mtime"}
 
 
 def norm(v):
