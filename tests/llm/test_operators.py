@@ -211,6 +211,24 @@ def brute_hits(text, items, n=13):
     return len(ws), len(hit), {str(i) for i in ids if i is not None}
 
 
+def test_passages_are_cut_by_row_where_ids_repeat_or_are_null(spark):
+    r = random.Random(77)
+    passage = " ".join("p%d" % r.randrange(10 ** 6) for _ in range(80))
+    other = lambda n: " ".join("x%d" % r.randrange(10 ** 6) for _ in range(n))
+    low = " ".join(["the"] * 400)  # one word, over and over
+    texts = [(1, other(30) + " " + passage), (1, other(5)), (1, other(60) + " " + passage + " " + other(9)), (None, passage + " " + other(40)),
+             (None, other(70)), (2, low), (3, low + " the the"), (4, other(55))]
+    d = spark.createDataFrame([(*x, "clash") for x in texts], "doc_id long, text string, rid string").repartition(3)
+    found = substrings.passages_by_row(d.drop("rid"))
+    left = substrings.without_passages(d, found)
+    assert left.columns == [*d.columns, "clean_text"]
+    rows = left.collect()
+    assert len(rows) == len(texts) and sum(passage in x["clean_text"] for x in rows) == 1
+    cut = [x for x in rows if x["text"] != x["clean_text"]]
+    assert sum("p" in x["text"].split()[0] or passage in x["text"] for x in cut) == 2
+    assert sum("the the" in x["clean_text"] and len(x["clean_text"].split()) >= 400 for x in rows) == 1
+
+
 @pytest.mark.parametrize("block", [16 << 20, 2000])  # the second scans block by block
 def test_decontaminate(spark, docs, empty, block):
     items = [(1, prose(30)), (2, BASE[:200]), (3, "one"), (4, None), (None, " ".join(LONG.split()[100:140])), (5, ""), (2, BASE[:200]), (6, "c d e")]
