@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqcat import config as C
 
 # Timestamps in JSON text keep microseconds (Spark's default text form stops at milliseconds).
 JSON_OPTIONS = {
@@ -192,19 +193,6 @@ def _field(schema: T.DataType, path: str):
     return schema
 
 
-# Telemetry fields picked out of ``all_fields``: output name -> (path, cast).
-FRAME_DEEP_FIELDS = {
-    "slant_range": ("all_fields.slant_range", None),
-    "platform_heading_angle": ("all_fields.platform_heading_angle", None),
-    "uas_datalink_ls_version_number": ("all_fields.uas_datalink_ls_version_number", "string"),
-    "image_source_sensor": ("all_fields.image_source_sensor", None),
-    "image_plane_theta": ("all_fields.solar_angles.image_plane.theta_degrees", None),
-    "image_plane_phi": ("all_fields.solar_angles.image_plane.phi_degrees", None),
-    "solar_ned_theta": ("all_fields.solar_angles.ned.theta_degrees", None),
-    "solar_ned_phi": ("all_fields.solar_angles.ned.phi_degrees", None),
-}
-
-
 def flatten_frame(df: DataFrame, col: str = "src_json", *, lift=("feed", "platform"), drop=("id",)) -> DataFrame:
     """Flatten one frame struct: ``sequence_frame`` (int), ``all_fields`` (kept nested), every field
     of ``feed``/``platform``, the telemetry fields of ``FRAME_DEEP_FIELDS`` and a null ``area_code``.
@@ -213,7 +201,7 @@ def flatten_frame(df: DataFrame, col: str = "src_json", *, lift=("feed", "platfo
     gets its parent's name as a prefix; a dot or backtick in a name becomes ``_``.
     """
     st = df.schema[col].dataType
-    taken = {c.lower() for c in (*df.columns, "sequence_frame", "all_fields", "area_code", *FRAME_DEEP_FIELDS)}
+    taken = {c.lower() for c in (*df.columns, "sequence_frame", "all_fields", "area_code", *C.FRAME_DEEP_FIELDS)}
     sel = [F.col("*")]
     sel.append((F.col(f"{col}.seq_frame").try_cast("int") if _field(st, "seq_frame") is not None
                 else F.lit(None).cast("int")).alias("sequence_frame"))
@@ -229,7 +217,7 @@ def flatten_frame(df: DataFrame, col: str = "src_json", *, lift=("feed", "platfo
                 name = f"{s}_{name}"
             taken.add(name.lower())
             sel.append(F.col(f"{col}.{s}").getField(f).alias(name))
-    for name, (path, cast) in FRAME_DEEP_FIELDS.items():
+    for name, (path, cast) in C.FRAME_DEEP_FIELDS.items():
         c = F.col(f"{col}.{path}") if _field(st, path) is not None else F.lit(None)
         sel.append((c.cast(cast) if cast else c).alias(name))
     sel.append(F.lit(None).cast("string").alias("area_code"))

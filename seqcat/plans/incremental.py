@@ -212,6 +212,10 @@ def _averages(runs: Runs) -> dict:
 def catalogue_table(spark: SparkSession, out_root: str, table: str, ontology_csv: str | None = None) -> DataFrame:
     """A table of the updated catalogue: one of ``TABLES`` (``labels`` needs the ontology file)."""
     runs = Runs(spark, out_root)
+    if not runs.committed:
+        raise FileNotFoundError(f"no run has been committed under {out_root}")
+    if table not in TABLES:
+        raise ValueError(f"table is one of {TABLES}, not {table!r}")
     if table == "labels":
         return _labels(spark, runs, ontology_csv)
     if table == "frames":

@@ -109,6 +109,8 @@ def test_a_failed_run_is_done_again(spark, updated, tmp_path, monkeypatch):
 
 def test_full_refresh_and_changed_types(spark, tmp_path):
     paths = write_tree(str(tmp_path), label_docs={}, sequences=FIRST[:2])
+    with pytest.raises(FileNotFoundError, match="no run"):
+        catalogue_table(spark, str(tmp_path / "out"), "catalogue")
     args = (spark, paths["raw"], paths["labels"], paths["ontology"], str(tmp_path / "out"))
     assert update_catalogue(*args)["new_documents"] == []
     assert catalogue_table(spark, args[4], "catalogue").where("is_labeled").count() == 0
