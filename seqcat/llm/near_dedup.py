@@ -13,16 +13,20 @@ least ``matches(percent)`` of ``COORDINATES`` values collide:
 
 Candidate pairs that hang together form a cluster.  A cluster's full shingle sets meet once; every candidate
 pair whose ends are not linked yet is confirmed by its exact Jaccard similarity, and what the confirmed
-links join is handed on as a star again.  Long lists and large clusters are dealt out as pairs of blocks, so no task
-holds more than two blocks.  The components of the confirmed links are those of all links.
+links join is handed on as a star again.  Long lists and clusters of many nodes or bytes are dealt out as pairs of blocks,
+so no task holds more than two blocks.  The components of the confirmed links are those of all links.
 
 With similarity 0.85 a pair has Binomial(32, 0.85) collisions: fewer than 18 with probability below 2e-5.  Other
 similarities take the largest number of collisions for which that holds.
 
+``one_of_each`` keeps one row of each group: the smallest id's, of equal ids (or where all are null) the one of the
+smallest hash of its id and text, of rows equal in both one.
+
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text with fewer than five words
 is one shingle; null and empty texts have none, are linked with nothing and are their own component; null
 ids count as larger than all others (a component of null ids only has a null id); repeated rows are copies;
-an empty table gives an empty result; extra columns are ignored.
+an empty table gives an empty result; extra columns are ignored.  ``one_of_each`` keeps every row without words (it is in
+no group) and all columns as they are.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqcat.llm.common import broadcast_if_small, slices, sorted_groups, space_words, staged
@@ -47,6 +51,7 @@ COORDINATES = 32
 MISSED = 2e-5  #: probability that a pair of the least similarity has too few collisions
 LIST_BLOCK = 2048  #: nodes of a posting list in a block
 SET_BLOCK = 16 << 20  #: bytes of shingle sets of a cluster in a block
+CLUSTER_BLOCK = 1024  #: nodes of a cluster in a block
 WORD_CACHE = 1 << 19
 
 _FACTORS = (np.random.default_rng(20240607).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -114,7 +119,7 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashed = WordHashes()
     for b in slices(batches):
         sets = [np.unique(shingles(hashed(space_words(t)))).tobytes() for t in b.column("text").to_pylist()]
-        yield pa.record_batch({"rid": b.column("rid"), "shingles": pa.array(sets, pa.binary())})
+        yield pa.record_batch({"doc_id": b.column("doc_id"), "rid": b.column("rid"), "shingles": pa.array(sets, pa.binary())})
 
 
 def _values(sig: pd.Series) -> pd.DataFrame:
@@ -210,43 +215,86 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col:
     """(a, b): stars of what links that full sets confirm join."""
     clusters = components(pairs).withColumnRenamed("component", "cluster")
     members = staged(nodes.join(clusters, "node"), "cluster-members")
-    sizes = members.groupBy("cluster").agg(F.sum(8 * F.col("n_shingles") + 200).alias("set_bytes"))
-    texts = _texts(docs, id_col, text_col).select("rid", "text").join(broadcast_if_small(members.select("rid")), "rid", "left_semi")
-    sets = texts.dropDuplicates(["rid"]).mapInArrow(_sets, "rid long, shingles binary")
-    full = members.join(sets, "rid").join(sizes, "cluster").select("cluster", "node", "sig", "shingles", "set_bytes")
-    full = block_pairs(full, F.ceil(F.col("set_bytes") / SET_BLOCK), F.col("node"))
+    sizes = members.groupBy("cluster").agg(F.sum(8 * F.col("n_shingles") + 200).alias("set_bytes"), F.count(F.lit(1)).alias("n_nodes"))
+    wanted = broadcast_if_small(members.select(F.col("doc_id").alias("id"), F.col("rid").alias("r")))
+    texts = _texts(docs, id_col, text_col).join(wanted, (F.col("rid") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    sets = texts.dropDuplicates(["rid", "doc_id"]).mapInArrow(_sets, "doc_id long, rid long, shingles binary").select(
+        F.col("doc_id").alias("id"), F.col("rid").alias("r"), "shingles")
+    full = members.join(sets, (F.col("rid") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("id"))).join(sizes, "cluster")
+    full = full.select("cluster", "node", "sig", "shingles", "set_bytes", "n_nodes")
+    n_blocks = F.ceil(F.greatest(F.col("set_bytes") / SET_BLOCK, F.col("n_nodes") / CLUSTER_BLOCK))
+    full = block_pairs(full, n_blocks, F.col("node"))
     return (full.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
             .mapInArrow(partial(_confirm, percent), "a binary, b binary"))
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, rid (hash of id and text), n_shingles, component_id, kept."""
+    """One row per document: doc_id, rid (hash of id and text), n_shingles, component (null without words), component_id, kept."""
     rows = sketched(docs, id_col, text_col)
     nodes = staged(rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.min("rid").alias("rid"), F.first("sig").alias("sig"),
-        F.first("n_shingles").alias("n_shingles")), "nodes")
+        F.min("doc_id").alias("least_id"), F.min(F.struct("rid", "doc_id")).alias("one"), F.first("sig").alias("sig"),
+        F.first("n_shingles").alias("n_shingles")).select("node", "least_id", "one.rid", "one.doc_id", "sig", "n_shingles"), "nodes")
     pairs = staged(candidate_pairs(nodes.select("node", "sig"), percent), "candidates")
     links = confirmed_links(docs, nodes, pairs, id_col, text_col, percent)
     found = components(links)
     nodes = nodes.select("node", "least_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     nodes = staged(nodes, "node-components")
     least = nodes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = nodes.join(least, "component").select("node", "component_id")
+    named = nodes.join(least, "component").select("node", "component", "component_id")
     out = rows.select("doc_id", "rid", "n_shingles", "node").join(named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "rid", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return out.select("doc_id", "rid", "n_shingles", "component", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable), kept."""
-    return grouped(docs, id_col, text_col, percent).drop("rid")
+    return grouped(docs, id_col, text_col, percent).drop("rid", "component")
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay, unchanged: rows are told apart by id and text."""
-    gone = staged(grouped(docs, percent=percent).where(~F.col("kept")).select(F.col("rid").alias("_rid")).distinct(), "gone")
-    return docs.join(broadcast_if_small(gone), F.xxhash64("doc_id", "text") == F.col("_rid"), "left_anti")
+    """One row of each group and every row without words, unchanged."""
+    rows = staged(grouped(docs, percent=percent).where("component is not null").groupBy("component", "doc_id", "rid").agg(
+        F.count(F.lit(1)).alias("copies")), "grouped")
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))
+    first = rows.groupBy("component").agg(F.min(place).alias("first"))
+    rows = rows.join(first, "component").select("doc_id", "rid", "copies", (place == F.col("first")).alias("stays"))
+    marked = staged(rows.where("not stays or copies > 1").select("doc_id", "rid", "stays"), "marked")
+
+    def among(right: DataFrame, how: str) -> DataFrame:
+        right = broadcast_if_small(right)
+        same = (F.xxhash64(docs["doc_id"], docs["text"]) == right["rid"]) & docs["doc_id"].cast("long").eqNullSafe(right["doc_id"])
+        return docs.join(right, same, how)
+
+    once = among(marked, "left_anti")
+    repeated = marked.where("stays")
+    if repeated.isEmpty():
+        return once
+    again = among(repeated, "left_semi").select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("rid"))
+    order = Window.partitionBy("rid", "row.doc_id").orderBy(F.xxhash64(F.to_json("row")))
+    return once.union(again.withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*"))
 
 
 def op9_near_dedup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
+
+
+ORACLE = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+shingled AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {SHINGLE} THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(ws) - {SHINGLE - 2})] END)) AS shingles FROM worded),
+named AS (SELECT doc_id, len(shingles) AS n, CASE WHEN len(shingles) > 0 THEN md5(array_to_string(shingles, chr(10))) END AS node, shingles FROM shingled),
+nodes AS (SELECT node, min(doc_id) AS least_id, any_value(n) AS n, any_value(shingles) AS shingles FROM named WHERE node IS NOT NULL GROUP BY node),
+entries AS (SELECT node, n, unnest(shingles) AS shingle FROM nodes),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.node <> b.node
+  WHERE 100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+reached AS (SELECT node, node AS other FROM nodes UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other),
+joined AS (SELECT r.node, min(o.least_id) AS component_id FROM reached r JOIN nodes o ON o.node = r.other GROUP BY r.node)
+SELECT d.doc_id, d.n AS n_shingles, CASE WHEN d.node IS NULL THEN d.doc_id ELSE j.component_id END AS component_id,
+  d.doc_id IS NOT DISTINCT FROM CASE WHEN d.node IS NULL THEN d.doc_id ELSE j.component_id END AS kept
+FROM named d LEFT JOIN joined j ON d.node = j.node
+"""

@@ -70,4 +70,4 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_exact_dedup, op5_decontaminate, op7_token_counts, op8_chat, op9_near_dedup, op10_lm_scoring, op4_toxicity, op6_substring_dedup,
                                  op11_prefix_trie, op12_fill_in_middle, op13_simhash)}
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op8_chat": chat.ORACLE,
-          "op11_prefix_trie": prefix_trie.ORACLE, "op12_fill_in_middle": fill_middle.ORACLE}
+          "op9_near_dedup": near_dedup.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE, "op12_fill_in_middle": fill_middle.ORACLE}

@@ -399,6 +399,7 @@ def brute_components(texts):
 def test_near_duplicates(spark, empty, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "LIST_BLOCK", block)
     monkeypatch.setattr(near_dedup, "SET_BLOCK", 4096 if block == 3 else 16 << 20)
+    monkeypatch.setattr(near_dedup, "CLUSTER_BLOCK", block)
     r = random.Random(2)
     bases = [[r.choice(VOCAB) for _ in range(n)] for n in (40, 90, 150, 150, 300, 7)]
     texts = [None, "", " ", "a b", "A B", "a b c"]
@@ -420,6 +421,26 @@ def test_near_duplicates(spark, empty, block, monkeypatch):
             ["(None, 1, 1, False)", "(1, 1, 1, True)", "(1, 1, 1, True)", "(None, 0, None, True)"])
 
 
+def test_one_of_each_of_repeats_nulls_ties_and_clashing_names(spark, empty):
+    cols = "doc_id long, text string, rid string, component string, place map<string,int>, stays boolean"
+    rows = [(1, "p q r", "a", None, None, True), (1, "p q r", "b", None, {"x": 1}, False), (2, "P Q R", "c", None, None, None),
+            (2, "p q r", "c", None, None, None), (None, "z z z", "d", "x", None, None), (None, "z z z", "d", "x", None, None),
+            (None, "Z z z", "d", None, None, None), (None, "p q r", None, None, None, None), (7, "z y", None, None, None, None),
+            (7, "z y", None, None, None, None), (8, "", None, None, None, None), (8, "", None, None, None, None),
+            (None, None, None, None, None, None), (None, " ", None, None, None, None), (9, "z y", "k", None, None, None)]
+    d = spark.createDataFrame(rows, cols).repartition(4)
+    out = near_dedup.one_of_each(d, percent=80)
+    assert out.columns == d.columns
+    got = sorted((str(r["doc_id"]), (r["text"] or "").lower().strip()) for r in out.collect())
+    assert got == sorted([("1", "p q r"), ("None", "z z z"), ("7", "z y"), ("8", ""), ("8", ""), ("None", ""), ("None", "")])
+    kept = {r["doc_id"]: r["rid"] for r in out.where("doc_id in (1, 7)").collect()}
+    again = {r["doc_id"]: r["rid"] for r in near_dedup.one_of_each(d.repartition(3), percent=80).where("doc_id in (1, 7)").collect()}
+    assert kept == again
+    hot = spark.range(3000).select((F.col("id") % 2).alias("doc_id"), F.lit("one text for all").alias("text"), "id")
+    assert [r["doc_id"] for r in near_dedup.one_of_each(hot).collect()] == [0]
+    assert near_dedup.one_of_each(empty).count() == 0
+
+
 def test_near_duplicates_at_other_similarities(spark):
     r = random.Random(8)
     rows = []
@@ -503,11 +524,13 @@ def test_pipeline(spark, empty, tmp_path):
         ids = lambda df: Counter(r["doc_id"] for r in df.select("doc_id").collect())
         assert check(ids(docs), ids(out))
     toxic = {r["doc_id"] for r in queries.op4_toxicity(spark, SF_SMALL).where("predicted = 1").collect()}
-    near = {r["doc_id"] for r in queries.op9_near_dedup(spark, SF_SMALL).where("not kept").collect()}
+    near = {r["doc_id"] for r in near_dedup.near_duplicates(docs, percent=80).where("not kept").collect()}
+    op9 = {r["doc_id"] for r in queries.op9_near_dedup(spark, SF_SMALL).where("not kept").collect()}
     bench = {r["doc_id"] for r in queries.op5_decontaminate(spark, SF_SMALL).where("contaminated").collect()}
     whole = {r["doc_id"] for r in docs.collect()}
     for (_, stage), gone in zip(p.STAGES[:3], (toxic, near, bench), strict=True):
         assert {r["doc_id"] for r in stage(spark, docs, SF_SMALL).collect()} == whole - gone
+    assert {r["doc_id"] for r in near_dedup.one_of_each(docs, percent=85).collect()} == whole - op9
     last = p.run(spark, SF_SMALL)
     assert last.columns == [*docs.columns, "vslot", "shard"] and last.count() > 0
     none = docs.limit(0)
