@@ -16,6 +16,7 @@ from seqcat.llm import decontaminate, mixing, near_dedup, sharding, toxicity
 from seqcat.llm.common import staged, table
 
 N_SHARDS = 24
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of linked documents."""
-    return near_dedup.one_of_each(docs)
+    """One row, the smallest id's, of each group of documents linked at ``NEAR_PERCENT``; every row without words."""
+    return near_dedup.one_of_each(docs, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
