@@ -5,7 +5,7 @@ Per-group values are computed as partial aggregates joined back on the key
 windows, so a hot key is reduced on the map side.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,19 +55,22 @@ def potential_dupes(df: DataFrame, id_col: str = "sequence_id", hash_col: str =
     of them.  Null hashes are nobody's duplicate (both columns null).  The
     member list itself is the hash group (join on ``hash_col``); it is not
     materialised per row, which would grow with the square of a group.
-    ``df`` is read by three branches: pass a stored table (e.g. the video
-    catalogue), not a plan that recomputes the hashes.
+    The distinct (hash, id) rows are shuffled once: the count and the two
+    smallest ids (``row_number() <= 2``, cut to two rows per hash and task before
+    the second shuffle) both read them.  ``df`` is read once more for its own
+    rows: pass a stored table (e.g. the video catalogue), not a plan that
+    recomputes the hashes.
     """
-    pairs = df.where(F.col(hash_col).isNotNull()).select(hash_col, id_col).distinct()
-    first = pairs.groupBy(hash_col).agg(F.count(F.lit(1)).alias("_cnt"), F.min(id_col).alias("_m1"))
-    second = (pairs.join(first.select(hash_col, "_m1"), hash_col)
-              .where(F.col(id_col) != F.col("_m1"))
-              .groupBy(hash_col).agg(F.min(id_col).alias("_m2")))
-    stats = first.join(second, hash_col, "left")
-    out = df.join(stats, hash_col, "left")
+    pairs = df.where(F.col(hash_col).isNotNull()).select(F.col(hash_col).alias("_hash"), F.col(id_col).alias("_id")).distinct()
+    counts = pairs.groupBy("_hash").agg(F.count(F.lit(1)).alias("_cnt"))
+    smallest = Window.partitionBy("_hash").orderBy(F.col("_id").asc_nulls_last())
+    two = (pairs.withColumn("_place", F.row_number().over(smallest)).where(F.col("_place") <= 2)
+           .groupBy("_hash").agg(F.min("_id").alias("_m1"), F.max(F.when(F.col("_place") == 2, F.col("_id"))).alias("_m2")))
+    stats = counts.join(two, "_hash")
+    out = df.join(stats, df[hash_col] == stats["_hash"], "left")
     return (out.withColumn(count_out, F.col("_cnt") - 1)
             .withColumn(first_out, F.when(F.col(id_col) == F.col("_m1"), F.col("_m2")).otherwise(F.col("_m1")))
-            .drop("_cnt", "_m1", "_m2")
+            .drop("_hash", "_cnt", "_m1", "_m2")
             .select(*df.columns, count_out, first_out))
 
 

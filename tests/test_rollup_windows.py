@@ -77,6 +77,16 @@ def test_potential_dupes(spark):
     assert got == {"s1": (1, "s2"), "s2": (1, "s1"), "s3": (None, None), "s4": (None, None), "s5": (0, None)}
 
 
+def test_potential_dupes_of_repeats_and_null_ids(spark):
+    rows = [("b", "m"), ("b", "m"), ("a", "m"), ("c", "m"), (None, "m"), (None, "n"), ("d", "n"), (None, "o")]
+    out = potential_dupes(spark.createDataFrame(rows, "sequence_id string, md5_hash string"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2  # before and after the shuffle
+    got = sorted(map(str, map(tuple, out.collect())))
+    assert got == sorted(map(str, [
+        ("b", "m", 3, "a"), ("b", "m", 3, "a"), ("a", "m", 3, "b"), ("c", "m", 3, "a"), (None, "m", 3, "a"),
+        (None, "n", 1, "d"), ("d", "n", 1, None), (None, "o", 0, None)]))
+
+
 def test_fill_from_group_casts_before_max(spark):
     df = spark.createDataFrame([("r", "9", None), ("r", "10", None), ("r", None, None), ("q", None, "7")],
                                "src_record_key string, width string, width_pix string")
