@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqcat.session import scratch_dir
@@ -35,6 +35,20 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns of these names renamed out of the way, and the columns that give all back as they were."""
+    used, moved = {c.lower() for c in [*docs.columns, *names]}, {}
+    for c in docs.columns:
+        if c.lower() in names:
+            free = "_" + c
+            while free.lower() in used:
+                free = "_" + free
+            used.add(free.lower())
+            moved[c] = free
+    back = [F.col(moved.get(c, c)).alias(c) for c in docs.columns]
+    return docs.withColumnsRenamed(moved) if moved else docs, back
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of each hold ``max_bytes`` at most, or one row does."""

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqcat.llm.common import staged, table
+from seqcat.llm.common import aside, staged, table
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -161,7 +161,8 @@ def contaminated(share: int = 20) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """Drop contaminated documents; all others stay as they are."""
-    return scanned(docs, benchmark, text_col).where(~contaminated()).select(*docs.columns)
+    docs, columns = aside(docs, "report", "_new")
+    return scanned(docs, benchmark, text_col).where(~contaminated()).select(*columns)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

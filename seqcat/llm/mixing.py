@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seqcat.llm.common import broadcast_if_small, staged, table
+from seqcat.llm.common import aside, broadcast_if_small, staged, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHARE = 1.5  #: of all sizes, given out over the sources
@@ -109,13 +109,14 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFr
     A row's share follows from its own key and its source's epochs and largest key taken, so texts are joined
     with narrow tables only; rows with that very key (repeats) are all taken.
     """
+    docs, columns = aside(docs, "_id", "_weight", "skey", "_epochs", "_cut", "_copy")
     out = mix(measured(docs, labels, seed))
     cuts = staged(out.groupBy("skey").agg(F.max("epochs").alias("_epochs"), F.max(F.when(F.col("more"), F.col("key"))).alias("_cut")), "mix-cuts")
     weights = staged(quality(labels).select(F.col("doc_id").alias("_id"), F.col("weight").alias("_weight")), "mix-weights")
     rows = docs.join(broadcast_if_small(weights), F.col("doc_id") == F.col("_id"), "left").join(cuts, source_key(F.col("source")) == F.col("skey"))
     key = -F.log(uniform(F.col("doc_id"), F.col("text"), F.lit(seed))) / F.coalesce("_weight", F.lit(1.0))
     copies = F.col("_epochs") + F.coalesce((key <= F.col("_cut")).cast("int"), F.lit(0))
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*columns)
 
 
 def op2_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

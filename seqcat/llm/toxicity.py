@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqcat.llm.common import SLICE_BYTES, held_out, staged, table
+from seqcat.llm.common import SLICE_BYTES, aside, held_out, staged, table
 from seqcat.llm.decontaminate import words as plain_words
 
 SAMPLE_DOCS = (3000, 1500)  #: clean and toxic
@@ -270,7 +270,8 @@ def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Field:
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half, unchanged."""
-    return scored(docs, fitted(spark, docs, sf_dir)).where(F.col("toxicity.score") < 0.5).select(*docs.columns)
+    docs, columns = aside(docs, "toxicity")
+    return scored(docs, fitted(spark, docs, sf_dir)).where(F.col("toxicity.score") < 0.5).select(*columns)
 
 
 def op4_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

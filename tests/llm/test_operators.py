@@ -379,7 +379,7 @@ def test_chat_round_trip(spark):
     assert chat.op8_chat(spark, d.limit(0)).select("conv_id", "n_turns", "valid").collect() == [(-7, 2, True)]
 
 
-def brute_components(texts):
+def brute_components(texts, percent=85):
     sets = {}
     for i, t in texts:
         w = words(t)
@@ -389,7 +389,7 @@ def brute_components(texts):
     for i in sets:
         for j in sets:
             both = len(sets[i] & sets[j])
-            if i < j and both and 100 * both >= 85 * len(sets[i] | sets[j]) and comp[i] != comp[j]:
+            if i < j and both and 100 * both >= percent * len(sets[i] | sets[j]) and comp[i] != comp[j]:
                 a, b = sorted((comp[i], comp[j]))
                 comp = {k: a if v == b else v for k, v in comp.items()}
     return {i: (len(sets[i]), comp[i], comp[i] == i) for i in sets}
@@ -538,3 +538,43 @@ def test_pipeline(spark, empty, tmp_path):
         none = stage(spark, none, SF_SMALL)
         assert none.count() == 0
         none = none.select(*docs.columns)
+
+
+def test_pipeline_on_odd_rows_and_clashing_names(spark, tmp_path):
+    import corpus_pipeline as p
+    tables = str(tmp_path)
+    cols = DOCS + ", toxicity string, report int, _id string, _weight int, skey string, _epochs int, _cut int, _copy int, _new int, vslot string"
+    own = ("tox", 5, "id", 6, "sk", 7, 8, 9, 10, "vs")
+    odd = [(*r, *own) for r in ROWS] + [(None, BASE, "en", "s1", None, None, None, *own), (3, "one", None, None, None, None, None, *own)]
+    docs = spark.createDataFrame(odd, cols).repartition(4)
+    item = prose(30)
+    spark.createDataFrame([("i1", item, None), ("i2", None, None)], "item_id string, text string, split string").write.parquet(f"{tables}/benchmark.parquet")
+    spark.createDataFrame([(i, int(i % 5 == 2), i % 3, "en") for i in range(75)],
+                          "doc_id long, toxic int, quality int, lang string").write.parquet(f"{tables}/labels.parquet")
+    dirty = spark.createDataFrame([(900, item, "en", "s0", None, None, None, *own)], cols)
+    docs = docs.union(dirty)
+    whole = Counter(map(str, map(tuple, docs.collect())))
+    for name, stage in p.STAGES[:3]:
+        out = stage(spark, docs, tables)
+        assert out.columns == docs.columns, name
+        left = Counter(map(str, map(tuple, out.collect())))
+        assert left and not left - whole, name
+        if name == "benchmark decontamination":
+            assert sum((whole - left).values()) == 1 and not any("(900," in r for r in left)
+        if name == "near duplicates":
+            kept = Counter((r["doc_id"], r["text"]) for r in out.collect() if words(r["text"]))
+            assert max(kept.values()) == 1
+            want = brute_components([(r[0], r[1]) for r in odd if r[0] is not None] + [(900, item)], 80)
+            assert {i for i, _ in kept if i is not None} == {i for i, x in want.items() if x[2] and x[0]}
+    mixed = p.mix_sources(spark, docs, tables)
+    assert mixed.columns == docs.columns
+    assert set(map(str, map(tuple, mixed.collect()))) <= set(whole)
+    dealt = p.deal_shards(spark, mixed, tables)
+    assert dealt.columns == [*[c for c in docs.columns if c not in ("vslot", "shard")], "vslot", "shard"]
+    assert dealt.count() == mixed.count()
+
+
+def test_shards_of_the_given_table_are_even(spark):
+    rows = queries.op1_sharding(spark, SF_SMALL.replace("0.001", "0.01")).groupBy("shard").agg(F.sum("size").alias("b"), F.max("size").alias("m")).collect()
+    sizes = [r["b"] for r in rows]
+    assert len(rows) == 24 and max(sizes) - min(sizes) <= max(r["m"] for r in rows)
