@@ -1,23 +1,28 @@
-"""Language-model scoring: a Katz backoff model of order two, learned and evaluated on chunks of documents.
+"""Language-model scoring: a Katz backoff model of any order, learned and evaluated on chunks of documents.
 
-Probability of a token w after a token h (or the start of its document):
+Probability of a token w after its context h, the m - 1 tokens before it (before a document stand start marks):
 
-* P(w | h) = d(r) r / c(h) when the pair was seen r > 0 times in training, else alpha(h) P(w);
-* P(w) = d1(c) c / N when the word was seen, else the mass that the discounts of seen words leave;
-* alpha(h) = (1 - sum of P(w | h) over seen pairs) / (1 - sum of P(w) over the same words), so that each
+* order m > 1: P(w | h) = d(r) r / c(h) when h w was seen r > 0 times in training, else alpha(h) P(w | h'), where
+  h' is h without its first token;
+* order 1: P(w) = d1(c) c / N when the word was seen, else the mass that the discounts of seen words leave;
+* alpha(h) = (1 - sum of P(w | h) over seen h w) / (1 - sum of P(w | h') over the same words), so that each
   distribution sums to one exactly; an h that was never seen has alpha 1.
 
-d are Good-Turing discounts for counts up to ``K`` (Katz's formula, from counts of counts); larger counts
+d are Good-Turing discounts of an order for counts up to ``K`` (Katz's formula, from counts of counts); larger counts
 give up ``TOP / r``, so no context is left without mass.  Where counts of counts are degenerate the discount is
-absolute; a model without left-over mass for unknown words adds ``ADD`` to each count.
+absolute; a model without left-over mass for unknown words adds ``ADD`` to each count in the base.
+
+A sequence seen in training has its shorter ends seen too.  So the recursion from the highest order down stops at the
+first order that knows the token, and the sums behind alpha take counts only: all orders are counted in one round,
+all alpha found in a second one.
 
 A chunk of documents is one stored row: the hashes of its distinct words and its tokens as numbers into
-them.  It asks for the training counts of its distinct words and pairs in sorted, packed arrays dealt by
-bucket of the key; a bucket sums what all chunks say and answers each with the totals.  Every
-distinct pair has one owner among the chunks, which adds its term to the sums of its context; these are
+them.  It asks for the training counts of its distinct sequences of 1 to ``order`` tokens in sorted, packed arrays
+dealt by bucket of the key; a bucket sums what all chunks say and answers each with the totals.  Every
+distinct sequence has one owner among the chunks, which adds its term to the sums of its context; these are
 summed by bucket again and give alpha.  The tables of requests and answers are stored, partitioned
 by chunk; a hot word or pair is one entry per chunk.  Requests are (chunks x buckets) rows, a few hundred
-keys each at 30 GB.
+keys each at 30 GB.  Buckets, and the tasks that chunks are dealt to, grow with the input.
 
 Defined results: null and empty texts are one end token; a null id counts as training; repeated rows count
 each; no training rows give every token the unknown word's mass, one; an empty table gives an empty result;
@@ -40,6 +45,8 @@ from seqcat.llm.near_dedup import WordHashes
 
 CHUNK_BYTES = 8 << 20
 BUCKET_KEYS = 1 << 21
+ORDER = 2
+CHUNKS_PER_TASK = 8
 K = 5
 TOP = 0.05
 ADD = 0.5
@@ -104,22 +111,36 @@ def _chunks(chunk_bytes: int):
     return run
 
 
+class Sequences:
+    """A chunk's token sequences of one length: distinct ``keys`` in order, the first place ``at`` of each, each
+    place's number ``own``; and each place's context as a number into ``contexts`` (the last one: the start)."""
+
+    def __init__(self, contexts: np.ndarray, before: np.ndarray, words: np.ndarray) -> None:
+        self.contexts, self.before = contexts, before
+        self.keys, self.at, self.own = np.unique(pair_keys(contexts[before], words), return_index=True, return_inverse=True)
+
+
 class Chunk:
-    """A chunk's arrays: tokens, contexts (number of words: the start) and distinct pairs in key order."""
+    """A chunk's arrays: tokens, and their sequences of two tokens and more."""
 
-    def __init__(self, row: dict) -> None:
-        n, w = row["n_tokens"], row["n_words"]
+    def __init__(self, row: dict, order: int) -> None:
         self.lengths = np.array(row["lengths"], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.held = np.array(row["held"], dtype=bool)
-        self.words = unpack_keys(row["words"], w)
-        self.tokens = unpack(row["tokens"], n)
-        self.contexts = np.append(self.words, _START)
-        self.before = np.concatenate([[w], self.tokens[:-1]])
-        self.before[self.starts] = w
+        self.words = unpack_keys(row["words"], row["n_words"])
+        self.tokens = unpack(row["tokens"], row["n_tokens"])
         self.train = np.repeat(~self.held, self.lengths)
-        self.pairs, self.at, self.pair = np.unique(
-            pair_keys(self.contexts[self.before], self.words[self.tokens]), return_index=True, return_inverse=True)
+        self.longer: list[Sequences] = []
+        keys, own = self.words, self.tokens
+        for _ in range(1, order):
+            before = np.concatenate([[len(keys)], own[:-1]])
+            before[self.starts] = len(keys)
+            self.longer.append(Sequences(np.append(keys, _START), before, self.words[self.tokens]))
+            keys, own = self.longer[-1].keys, self.longer[-1].own
+
+    def levels(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, keys, each place's number) of every length of sequences."""
+        return [(1, self.words, self.tokens), *((m, q.keys, q.own) for m, q in enumerate(self.longer, 2))]
 
 
 def _dealt(chunk: int, level: int, bits: int, keys: np.ndarray, n_columns: int, columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -135,14 +156,14 @@ def _dealt(chunk: int, level: int, bits: int, keys: np.ndarray, n_columns: int,
     return pa.record_batch(out)
 
 
-def _requests(word_bits: int, pair_bits: int):
+def _requests(bits: list[int]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                c = Chunk(row)
-                yield _dealt(row["chunk"], 1, word_bits, c.words, 1, [np.bincount(c.tokens[c.train], minlength=len(c.words))])
-                yield _dealt(row["chunk"], 2, pair_bits, c.pairs, 1, [np.bincount(c.pair[c.train], minlength=len(c.pairs))])
+                c = Chunk(row, len(bits))
+                for m, keys, own in c.levels():
+                    yield _dealt(row["chunk"], m, bits[m - 1], keys, 1, [np.bincount(own[c.train], minlength=len(keys))])
     return run
 
 
@@ -213,41 +234,50 @@ def _parts(parts: list[dict], level: int, kind=np.int64) -> np.ndarray:
     return np.concatenate([np.zeros(0, dtype=kind), *(unpack(p["answer"], p["n"], kind) for p in own)])
 
 
-def _partial(unigrams: Unigrams, d2: list[float], n_docs: int, bits: int):
-    """Chunks with their totals -> scores without the backoff weights, and the sums that make these."""
+def _partial(unigrams: Unigrams, d: list[list[float]], n_docs: int, bits: list[int]):
+    """Chunks with their totals -> scores without the backoff weights, and the sums that make these.  ``d``: the
+    discounts of sequences of two tokens and more."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                c = Chunk(row)
-                r1, answer = _parts(row["parts"], 1) // 2, _parts(row["parts"], 2)
-                r2, own = answer // 2, answer % 2 == 1
-                p1, seen = unigrams(r1), np.append(r1, n_docs)
-                ctx, tok = c.before[c.at], c.tokens[c.at]
-                known = r2 > 0
-                p2 = np.where(known, discounted(r2, d2) / np.maximum(seen[ctx], 1), 1.0)
-                logs = np.where(known, np.log10(p2), np.log10(p1[tok]))[c.pair]
+                c = Chunk(row, len(bits))
                 total = lambda x: np.add.reduceat(x, c.starts)
-                back = ~known[c.pair] & (seen[c.before] > 0)
-                num, den = (np.bincount(ctx[own], weights=x[own], minlength=len(c.contexts)) for x in (p2, p1[tok]))
-                need = np.unique(c.before[back])
-                asked = np.union1d(np.flatnonzero(np.bincount(ctx[own], minlength=len(c.contexts))), need)
-                asked = asked[np.argsort(c.contexts[asked])]
-                place = np.zeros(len(c.contexts), dtype=np.int64)
-                place[asked] = np.arange(len(asked))
-                out = _dealt(row["chunk"], 3, bits, c.contexts[asked], 2, [num[asked], den[asked]])
-                n = out.num_rows
+                r1 = _parts(row["parts"], 1) // 2
+                logs, lower, r, own = np.log10(unigrams(r1))[c.tokens], unigrams(r1), r1, c.tokens
+                sums, places, uses, n_asked = [], [], [], 0
+                for m, (q, d_m) in enumerate(zip(c.longer, d, strict=True), 2):
+                    answer, seen = _parts(row["parts"], m), np.append(r, n_docs)  # a context's followers: its occurrences
+                    r, mine, ctx = answer // 2, answer % 2 == 1, q.before[q.at]
+                    known = r > 0
+                    p = np.where(known, discounted(r, d_m) / np.maximum(seen[ctx], 1), 1.0)
+                    num, den = (np.bincount(ctx[mine], weights=x[mine], minlength=len(q.contexts)) for x in (p, lower[own[q.at]]))
+                    back = np.flatnonzero(~known[q.own] & (seen[q.before] > 0))
+                    need = np.zeros(len(q.contexts), dtype=bool)
+                    need[ctx[mine]] = need[q.before[back]] = True
+                    asked = np.flatnonzero(need)
+                    asked = asked[np.argsort(q.contexts[asked])]
+                    place = np.zeros(len(q.contexts), dtype=np.int64)
+                    place[asked] = np.arange(n_asked, n_asked + len(asked))
+                    n_asked += len(asked)
+                    sums.append(_dealt(row["chunk"], m, bits[m - 2], q.contexts[asked], 2, [num[asked], den[asked]]))
+                    places.append(back)
+                    uses.append(place[q.before[back]])
+                    logs, lower, own = np.where(known[q.own], np.log10(p)[q.own], logs), p, q.own
+                back, used = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (places, uses))
                 docs = {"doc_ids": row["doc_ids"], "held": row["held"], "lengths": row["lengths"],
                         "n_known": total((r1[c.tokens] > 0).astype(np.int64)).tolist(),
                         "base": total(np.log10(unigrams.base(r1))[c.tokens]).tolist(), "partial": total(logs).tolist(),
-                        "n_back": total(back.astype(np.int64)).tolist()}
+                        "n_back": total(np.bincount(back, minlength=len(c.tokens))).tolist()}
                 kinds = {"held": pa.bool_(), "base": pa.float64(), "partial": pa.float64()}
                 head = {"level": pa.array([0], pa.int32()), "bucket": pa.array([0], pa.int64()), "chunk": pa.array([row["chunk"]], pa.int64()),
-                        "n": pa.array([int(back.sum())], pa.int64()), "keys": pa.array([pack(place[c.before[back]])], pa.binary()),
+                        "n": pa.array([len(back)], pa.int64()),
+                        "keys": pa.array([pack(used[np.argsort(back, kind="stable")])], pa.binary()),
                         "x0": pa.array([None], pa.binary()), "x1": pa.array([None], pa.binary())}
                 yield pa.record_batch(head | {k: pa.array([v], pa.list_(kinds.get(k, pa.int64()))) for k, v in docs.items()})
-                yield pa.record_batch({k: out.column(k) for k in head} | {
-                    k: pa.array([None] * n, pa.list_(kinds.get(k, pa.int64()))) for k in docs})
+                for out in sums:
+                    yield pa.record_batch({k: out.column(k) for k in head} | {
+                        k: pa.array([None] * out.num_rows, pa.list_(kinds.get(k, pa.int64()))) for k in docs})
     return run
 
 
@@ -257,23 +287,31 @@ def _alphas(group: pd.DataFrame) -> pd.DataFrame:
     num, den = (np.bincount(place, weights=np.concatenate([unpack(x, n, np.float64) for x, n in zip(group[c], group["n"], strict=True)]))
                 for c in ("x0", "x1"))
     logs = np.log10(np.maximum(1 - num, 1e-300) / np.maximum(1 - den, 1e-300))[place]
-    return pd.DataFrame([(3, int(b), int(c), int(n), pack(logs[e - n:e])) for b, c, n, e in zip(
+    level = int(group["level"].iloc[0])
+    return pd.DataFrame([(level, int(b), int(c), int(n), pack(logs[e - n:e])) for b, c, n, e in zip(
         group["bucket"], group["chunk"], group["n"], ends, strict=True)], columns=["level", "bucket", "chunk", "n", "answer"])
 
 
-def _scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for i in range(b.num_rows):
-            row = b.slice(i, 1).to_pylist()[0]
-            alphas = _parts(row["parts"] or [], 3, np.float64)
-            back = np.concatenate([[0.0], np.cumsum(alphas[unpack(row["keys"], row["n"])])]) if row["n"] else np.zeros(1)
-            n_back = np.array(row["n_back"], dtype=np.int64)
-            ends = np.cumsum(n_back)
-            yield pa.record_batch({
-                "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
-                "n_tokens": pa.array(row["lengths"], pa.int64()), "n_known": pa.array(row["n_known"], pa.int64()),
-                "base_score": pa.array(row["base"], pa.float64()),
-                "score": pa.array(np.array(row["partial"]) + back[ends] - back[ends - n_back], pa.float64())})
+def _scores(order: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                alphas = np.concatenate([np.zeros(0), *(_parts(row["parts"] or [], m, np.float64) for m in range(2, order + 1))])
+                back = np.concatenate([[0.0], np.cumsum(alphas[unpack(row["keys"], row["n"])])]) if row["n"] else np.zeros(1)
+                n_back = np.array(row["n_back"], dtype=np.int64)
+                ends = np.cumsum(n_back)
+                yield pa.record_batch({
+                    "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
+                    "n_tokens": pa.array(row["lengths"], pa.int64()), "n_known": pa.array(row["n_known"], pa.int64()),
+                    "base_score": pa.array(row["base"], pa.float64()),
+                    "score": pa.array(np.array(row["partial"]) + back[ends] - back[ends - n_back], pa.float64())})
+    return run
+
+
+def _spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to n tasks where that is more than Spark would take."""
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def _answers(answers: DataFrame) -> DataFrame:
@@ -281,32 +319,39 @@ def _answers(answers: DataFrame) -> DataFrame:
     return answers.groupBy("chunk").agg(F.collect_list(F.struct("level", "bucket", "n", "answer")).alias("parts"))
 
 
-def score_documents(docs: DataFrame, is_held_out, id_col: str = "doc_id", text_col: str = "text",
+def score_documents(docs: DataFrame, is_held_out, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
                     chunk_bytes: int = CHUNK_BYTES, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; ``order``: tokens that the
+    longest counted sequences have."""
+    if order < 1:
+        raise ValueError("order must be at least 1")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), is_held_out.alias("held"), F.col(text_col).alias("text"))
     chunks = staged(docs.mapInArrow(_chunks(chunk_bytes), (
         "chunk long, doc_ids array<long>, held array<boolean>, lengths array<long>, n_words long, n_tokens long, words binary, "
         "tokens binary")), "lm-chunks")
-    sizes = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0)),
-                       F.coalesce(F.sum(F.size(F.filter("held", lambda x: ~x))), F.lit(0))).first()
-    bits = [max(0, math.ceil(math.log2(max(1, n) / bucket_keys))) for n in sizes[:2]]
-    asked = chunks.mapInArrow(_requests(bits[1], bits[0]), "level int, bucket long, chunk long, n long, keys binary, x0 binary")
-    told = staged(asked.groupBy("level", "bucket").applyInPandas(
+    n_words, n_tokens, n_docs, n_chunks = chunks.agg(
+        F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0)),
+        F.coalesce(F.sum(F.size(F.filter("held", lambda x: ~x))), F.lit(0)), F.count(F.lit(1))).first()
+    bits = [max(0, math.ceil(math.log2(max(1, n) / bucket_keys))) for n in [n_words, *[n_tokens] * (order - 1)]]
+    n_buckets, n_tasks = sum(1 << b for b in bits), -(-n_chunks // CHUNKS_PER_TASK)
+    asked = chunks.mapInArrow(_requests(bits), "level int, bucket long, chunk long, n long, keys binary, x0 binary")
+    told = staged(_spread(asked, n_buckets, "level", "bucket").groupBy("level", "bucket").applyInPandas(
         lambda g: _tally(g), "level int, bucket long, chunk long, n long, answer binary, stats array<long>"), "lm-counts")
     stats = {r["level"]: list(r)[1:] for r in told.where("chunk is null").groupBy("level").agg(
-        *[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()}  # two rows
-    one, two = (stats.get(level, [0] * (K + 3)) for level in (1, 2))
+        *[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(K + 3)]).collect()}  # a row an order
+    one, *more = (stats.get(m, [0] * (K + 3)) for m in range(1, order + 1))
     unigrams = Unigrams(one[:K + 1], one[K + 1], one[K + 2])
-    partial = staged(chunks.join(_answers(told.where("chunk is not null")), "chunk").mapInArrow(
-        _partial(unigrams, discounts(two[:K + 1]), sizes[2], bits[1]), (
+    answers = _answers(_spread(told.where("chunk is not null"), n_tasks, "chunk"))
+    partial = staged(chunks.join(answers, "chunk").mapInArrow(
+        _partial(unigrams, [discounts(x[:K + 1]) for x in more], n_docs, bits), (
             "level int, bucket long, chunk long, n long, keys binary, x0 binary, x1 binary, doc_ids array<long>, "
             "held array<boolean>, lengths array<long>, n_known array<long>, base array<double>, partial array<double>, n_back array<long>")),
         "lm-partial")
-    alphas = partial.where("level = 3").select("level", "bucket", "chunk", "n", "keys", "x0", "x1").groupBy("bucket").applyInPandas(
+    sums = partial.where("level > 0").select("level", "bucket", "chunk", "n", "keys", "x0", "x1")
+    alphas = _spread(sums, n_buckets, "level", "bucket").groupBy("level", "bucket").applyInPandas(
         lambda g: _alphas(g), "level int, bucket long, chunk long, n long, answer binary")
-    rows = partial.where("level = 0").drop("level", "bucket", "x0", "x1").join(_answers(alphas), "chunk", "left")
-    out = rows.mapInArrow(_scores, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    rows = partial.where("level = 0").drop("level", "bucket", "x0", "x1").join(_answers(_spread(alphas, n_tasks, "chunk")), "chunk", "left")
+    out = rows.mapInArrow(_scores(order), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(unigrams.n).cast("long").alias("train_tokens"),
                       "base_score", "score")
 
