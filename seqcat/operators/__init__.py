@@ -30,7 +30,7 @@ from seqcat.operators.labels import (
     rename_label_document,
 )
 from seqcat.operators.layout import cluster_by_key, distinct_rows, sort_catalogue
-from seqcat.operators.neighbours import neighbour, neighbours
+from seqcat.operators.neighbours import crowded_slots, neighbour, neighbours
 from seqcat.operators.project import (
     add_label_size,
     coalesce_counts,

@@ -5,6 +5,7 @@ from pyspark.sql import SparkSession
 from seqcat import schemas
 from seqcat.operators.boxes import bbox_union
 from seqcat.operators.jsonx import malformed_documents
+from seqcat.operators.neighbours import crowded_slots
 from seqcat.plans.annotations import (
     annotation_rows,
     label_table,
@@ -31,7 +32,8 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
                     *, seq_schema=None, frame_schema=None) -> dict:
     """Build the frame, sequence, label and final tables under ``out_root``; return their paths,
     ``rejected_annotations`` (annotations of other types, which carry no box) and ``malformed_documents``
-    (telemetry and label files that hold no JSON of the expected kind, so give no row).
+    (telemetry and label files that hold no JSON of the expected kind, so give no row).  ``crowded_slots`` lists the
+    offsets of a recording that hold several clips, where rows fan out over their neighbours.
 
     ``frame_schema`` (an array of frames) and ``seq_schema`` declare the documents and spare the pass that infers
     their open fields.
@@ -43,7 +45,7 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     """
     out = out_root.rstrip("/")
     paths = {k: f"{out}/{k}" for k in ("videos", "stills", "frames_flat", "frames", "telemetry", "merged",
-                                       "sequences", "annotations", "label_tasks", "labels", "catalogue")}
+                                       "crowded_slots", "sequences", "annotations", "label_tasks", "labels", "catalogue")}
 
     # file catalogues first: one small row per file, so the video bytes are read (hashed) exactly once
     stage_write(video_files(spark, raw_root), paths["videos"])
@@ -61,6 +63,7 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
                              stage_read(spark, paths["videos"]))
     # stored: enrich reads it five times (per-batch max and both neighbour sides)
     stage_write(merged, paths["merged"])
+    stage_write(crowded_slots(stage_read(spark, paths["merged"])), paths["crowded_slots"])
     # batch folders (partition pruning); rows inside keep the recording/offset order of the clustering
     sequences = split(enrich(stage_read(spark, paths["merged"])))
     stage_write(sequences, paths["sequences"], partition_by="batch", sort_by=("src_record_key", "time_offset_s"))

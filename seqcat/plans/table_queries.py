@@ -50,6 +50,7 @@ from seqcat.operators import (
     bbox_union,
     cluster_by_key,
     coalesce_counts,
+    crowded_slots,
     const_cols,
     derive_frame_cols,
     derive_gsd,
@@ -77,6 +78,7 @@ from seqcat.operators import (
     modes_and_medians,
     nan_to_null,
     neighbour,
+    neighbours,
     parse_json,
     potential_dupes,
     prefix_cols,
@@ -461,6 +463,27 @@ SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, b.l_partkey AS prev_l_partkey
 LEFT JOIN lineitem b ON b.l_orderkey = a.l_orderkey AND b.l_linenumber + 1 = a.l_linenumber""")(
     _neighbour_query("prev"))
 
+# suppliers' lines share slots (supplier, line number): many candidates for each row
+_SLOTS = {"id_col": "l_orderkey", "key": "l_suppkey", "offset": "l_linenumber"}
+
+
+@register("neighbour_first", """
+WITH s AS (SELECT l_suppkey AS k, l_linenumber AS o, min(l_orderkey) AS first, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, a.first AS next_l_orderkey, coalesce(a.n, 0) AS next_l_orderkey_count,
+       b.first AS prev_l_orderkey, coalesce(b.n, 0) AS prev_l_orderkey_count
+FROM lineitem l LEFT JOIN s a ON a.k = l.l_suppkey AND a.o - 1 = l.l_linenumber
+LEFT JOIN s b ON b.k = l.l_suppkey AND b.o + 1 = l.l_linenumber""")
+def q_neighbour_first(spark, d):
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return neighbours(li, length=F.lit(1), fan_out=False, **_SLOTS)
+
+
+@register("crowded_slots", """
+SELECT l_suppkey, l_linenumber * 1000 AS offset_ms, count(*) AS n_clips, min(l_orderkey) AS first_l_orderkey
+FROM lineitem GROUP BY l_suppkey, l_linenumber HAVING count(*) > 1""")
+def q_crowded_slots(spark, d):
+    return crowded_slots(tbl(spark, d, "lineitem"), **_SLOTS)
+
 
 # ---------------------------------------------------------------------------
 # classification, flags, split

@@ -13,6 +13,7 @@ from seqcat.operators import (
     latest_per_key,
     mode_clean,
     modes_and_medians,
+    crowded_slots,
     neighbours,
     potential_dupes,
     starts_and_ends,
@@ -121,6 +122,41 @@ def test_neighbours_clip_length_from_candidate_batch(spark):
     assert got == [("a", "b"), ("a", "c"), ("b", None), ("c", None)]
 
 
+def test_neighbours_without_fan_out(spark):
+    rows = [("a", "r", 0.0), ("b", "r", 5.0), ("b2", "r", 5.0), ("c", "r", 10.0), ("c", "r", 10.0), ("x", None, 5.0), ("y", "r", None),
+            (None, "q", 0.0), (None, "q", 0.0)]
+    df = spark.createDataFrame(rows, "sequence_id string, src_record_key string, time_offset_s double")
+    got = neighbours(df, length=F.lit(5), fan_out=False)
+    assert got.columns == ["sequence_id", "src_record_key", "time_offset_s", "next_sequence_id", "next_sequence_id_count",
+                           "prev_sequence_id", "prev_sequence_id_count"]
+    have = sorted((str(r[0]), *r[3:]) for r in got.collect())
+    assert have == sorted([("a", "b", 2, None, 0), ("b", "c", 2, "a", 1), ("b2", "c", 2, "a", 1), ("c", None, 0, "b", 2), ("c", None, 0, "b", 2),
+                           ("x", None, 0, None, 0), ("y", None, 0, None, 0), ("None", None, 0, None, 0), ("None", None, 0, None, 0)], key=lambda r: r[0])
+    assert sorted(map(tuple, crowded_slots(df).collect()), key=str) == [("q", 0, 2, None), ("r", 10000, 2, "c"), ("r", 5000, 2, "b")]
+    # with fan-out: as many rows as next times previous candidates
+    many = neighbours(df, length=F.lit(5))
+    each = got.selectExpr("greatest(next_sequence_id_count, 1) * greatest(prev_sequence_id_count, 1) AS n").agg(F.sum("n")).first()[0]
+    assert many.count() == each
+    assert neighbours(df.limit(0), length=F.lit(5), fan_out=False).count() == 0 and crowded_slots(df.limit(0)).count() == 0
+
+
+def test_neighbours_hot_slot_is_linear(spark):
+    hot = spark.range(60_000).selectExpr("id AS sequence_id", "'r' AS src_record_key", "CAST(5 * (id % 2) AS double) AS time_offset_s")
+    got = neighbours(hot, length=F.lit(5), fan_out=False)
+    assert got.count() == 60_000  # 30,000 candidates each: 900 million rows with fan-out
+    assert got.where("next_sequence_id_count = 30000 AND next_sequence_id = 1").count() == 30_000
+
+
+def test_neighbours_deal_the_wide_side_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(10).selectExpr("id AS sequence_id", "id AS src_record_key", "CAST(id AS double) AS time_offset_s", "'wide' || id AS payload")
+        plan = neighbours(df, length=F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3  # rows once, candidates of each direction
+
+
 def _coords_df(spark):
     return spark.createDataFrame([
         (1, "AnnoRect", ([], 576.0, 592.0, 250.0, 256.0)),
