@@ -6,7 +6,7 @@ once: rolling hashes of its windows are looked up in the broadcast hash set, and
 by word.  Words inside a verified window are hit.
 
 Only a block of the benchmark of at most ``block_bytes`` of text is collected and broadcast at a time; its
-size is measured first.  A larger benchmark is scanned block by block, with the hits of earlier blocks carried
+size is measured first, and exact running sums of bytes cut the blocks.  A larger benchmark is scanned block by block, with the hits of earlier blocks carried
 along in a stored table, so neither driver nor executors ever hold more than one block (one item
 longer than a block is a block).
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqcat.llm.common import aside, staged, table
@@ -131,16 +131,46 @@ def _joined(spans: Column) -> Column:
         .otherwise(F.concat(acc, F.array(s))))
 
 
+def _bytes(items: DataFrame) -> int:
+    return items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
+def in_blocks(items: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """Distinct (item, text) with ``block``, and the number of blocks: none holds more than ``block_bytes`` of text, but
+    for a single longer item.
+
+    Items are dealt by hash to groups of about a quarter of a block.  Exact running sums cut a group into pieces: an
+    item of over half a block is a piece, and so are the others that begin within the same half block.  Pieces
+    are packed in order; only their sizes, a few numbers a block, come to the driver.
+    """
+    size = F.octet_length("text").cast("long")
+    items = items.distinct().where(size > 0).withColumn("size", size)
+    n_groups, half = max(1, -(-4 * _bytes(items) // block_bytes)), max(1, block_bytes // 2)
+    group = Window.partitionBy("group").orderBy("item", "text")
+    before = F.coalesce(F.sum("size").over(group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = staged(items.withColumn("group", F.pmod(F.xxhash64("item", "text"), F.lit(n_groups))).withColumn(
+        "piece", F.when(F.col("size") > half, -F.row_number().over(group)).otherwise(F.floor(before / half)).cast("long")), "benchmark-pieces")
+    packed, block, room = [], -1, 0
+    for r in pieces.groupBy("group", "piece").agg(F.sum("size").alias("size")).orderBy("group", "piece").collect():
+        if block < 0 or r["size"] > room:
+            block, room = block + 1, block_bytes
+        room -= r["size"]
+        packed.append((r["group"], r["piece"], block))
+    packed = items.sparkSession.createDataFrame(packed, "group long, piece long, block int")
+    return staged(pieces.join(F.broadcast(packed), ["group", "piece"]).select("item", "text", "block"), "benchmark-blocks"), block + 1
+
+
 def scanned(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``docs`` and ``report``."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
+    total, n_blocks = _bytes(items), 1
+    if total > block_bytes:
+        items, n_blocks = in_blocks(items, block_bytes)
     out = docs.drop("report")
     for k in range(n_blocks):
-        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k)
-        grams = spark.sparkContext.broadcast([tuple(r) for r in block.collect()])  # at most a block of bytes
+        block = items.where(F.col("block") == k).drop("block") if n_blocks > 1 else items.select("item", "text")
+        grams = spark.sparkContext.broadcast([tuple(r) for r in block.collect()])  # at most a block of bytes, or one item
         if n_blocks == 1:
             return out.withColumn("report", report(F.col(text_col), grams))
         new = out.withColumn("_new", report(F.col(text_col), grams))

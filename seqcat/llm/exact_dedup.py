@@ -5,7 +5,9 @@ open-addressing table compares complete contents.  The levels are Spark's: bucke
 a bucket beyond ``bucket_bytes`` is split by its next hash bits, again until all fit, and Spark's shuffle
 files are the spill files, so a lost executor only repeats its tasks.  Each input task first combines its
 own copies in such a table (flushed when full), so a text that a third of all rows share is
-shuffled once per task and never gathers in a bucket.
+shuffled once per flush.  The copies that are left of a text with more than ``HOT_ROWS`` rows (or one in 2^19 of all
+rows, so that the hot hashes fit a broadcast) are dealt to ``SALTS`` tables by their input task, whose groups
+are summed up afterwards, so they don't gather in one bucket either.
 
 Defined results: texts are equal when identical after lower-casing A-Z; null counts as empty; a null id is
 smaller than any other; rows that repeat the id that stays all stay; an empty table gives an empty result;
@@ -26,6 +28,8 @@ from seqcat.llm.common import slices, staged
 
 BUCKET_BYTES = 32 << 20
 LEVEL_BITS = 10
+HOT_ROWS = 1 << 16
+SALTS = 256
 
 
 def normalised(text: str | None) -> bytes:
@@ -103,18 +107,18 @@ def _combine(limit: int):
 
 
 def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket -> one row per distinct content with copies; one bucket's table at a time."""
+    """Rows sorted by bucket and salt -> one row per distinct content with copies, or with a salt; one table at a time."""
     def groups(t: ContentTable) -> pa.RecordBatch:
-        many = [j for j, n in enumerate(t.counts) if n > 1]
+        many = [j for j, n in enumerate(t.counts) if n > 1 or at[1]]
         return pa.record_batch({"sha": pa.array([hashlib.sha256(t.texts[j]).digest() for j in many], pa.binary()),
                                 "keep_id": pa.array([t.best[j] for j in many], pa.int64()),
                                 "group_size": pa.array([t.counts[j] for j in many], pa.int64())})
-    at, seen = None, ContentTable()
+    at, seen = (None, 0), ContentTable()
     for b in slices(batches, "content"):
-        for bucket, h, text, best, n in zip(*(b.column(c).to_pylist() for c in ("bucket", "h", "content", "best", "n")), strict=True):
-            if bucket != at:
+        for *key, h, text, best, n in zip(*(b.column(c).to_pylist() for c in ("bucket", "salt", "h", "content", "best", "n")), strict=True):
+            if tuple(key) != at:
                 yield groups(seen)
-                at, seen = bucket, ContentTable()
+                at, seen = tuple(key), ContentTable()
             seen.add(h & (1 << 64) - 1, text, best, n)
     yield groups(seen)
 
@@ -136,22 +140,27 @@ def bucketed(sizes: DataFrame, bucket_bytes: int = BUCKET_BYTES, bits: int = LEV
             return bucket, levels
 
 
-def exact_groups(docs: DataFrame, digests: DataFrame, bucket_bytes: int = BUCKET_BYTES, bits: int = LEVEL_BITS) -> DataFrame:
+def exact_groups(docs: DataFrame, digests: DataFrame, bucket_bytes: int = BUCKET_BYTES, bits: int = LEVEL_BITS,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """(sha, keep_id, group_size) of every content that two rows or more share."""
-    sizes = digests.groupBy("h").agg(F.max("n_bytes").alias("n_bytes"))
+    sizes = digests.groupBy("h").agg(F.max("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("n_rows"))
     bucket, _ = bucketed(sizes, bucket_bytes, bits)
+    hot = staged(sizes.where(F.col("n_rows") > max(hot_rows, digests.count() >> 19)).select("h", F.lit(True).alias("hot")), "exact-hot")
     local = docs.select("doc_id", "text").mapInArrow(_combine(bucket_bytes), "h long, content binary, best long, n long")
-    local = local.withColumn("bucket", bucket)
-    return (local.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(_resolve, "sha binary, keep_id long, group_size long"))
+    salt = F.when(F.col("hot"), 1 + F.spark_partition_id() % SALTS).otherwise(0)
+    local = local.join(F.broadcast(hot), "h", "left").withColumn("bucket", bucket).withColumn("salt", salt).drop("hot")
+    found = (local.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt")
+             .mapInArrow(_resolve, "sha binary, keep_id long, group_size long"))
+    return found.groupBy("sha").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")).where(
+        F.col("group_size") > 1)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                bucket_bytes: int = BUCKET_BYTES, bits: int = LEVEL_BITS) -> DataFrame:
+                bucket_bytes: int = BUCKET_BYTES, bits: int = LEVEL_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     digests = staged(docs.mapInArrow(_digests, "doc_id long, sha binary, h long, n_bytes long"), "digests")
-    groups = staged(exact_groups(docs, digests, bucket_bytes, bits), "exact-groups")
+    groups = staged(exact_groups(docs, digests, bucket_bytes, bits, hot_rows), "exact-groups")
     joined = digests.join(groups, "sha", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
