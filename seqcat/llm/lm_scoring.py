@@ -156,17 +156,23 @@ def _dealt(chunk: int, level: int, bits: int, keys: np.ndarray, n_columns: int,
     return pa.record_batch(out)
 
 
-def _requests(bits: list[int]):
+def _by_chunk(of_chunk):
+    """A ``mapInArrow`` function that handles chunk rows one by one; what a row needed is freed before the next."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                row = b.slice(i, 1).to_pylist()[0]
-                c = Chunk(row, len(bits))
-                for m, keys, own in c.levels():
-                    yield _dealt(row["chunk"], m, bits[m - 1], keys, 1, [np.bincount(own[c.train], minlength=len(keys))])
+                yield from of_chunk(b.slice(i, 1).to_pylist()[0])
     return run
 
 
+def _requests(bits: list[int]):
+    def asked(row: dict) -> Iterator[pa.RecordBatch]:
+        c = Chunk(row, len(bits))
+        for m, keys, own in c.levels():
+            yield _dealt(row["chunk"], m, bits[m - 1], keys, 1, [np.bincount(own[c.train], minlength=len(keys))])
+    return _by_chunk(asked)
+
+
 def _gather(group: pd.DataFrame):
     """All keys of a bucket: distinct number of each entry, and the ends of the chunks' parts."""
     group = group.sort_values("chunk", kind="stable")
@@ -237,48 +243,46 @@ def _parts(parts: list[dict], level: int, kind=np.int64) -> np.ndarray:
 def _partial(unigrams: Unigrams, d: list[list[float]], n_docs: int, bits: list[int]):
     """Chunks with their totals -> scores without the backoff weights, and the sums that make these.  ``d``: the
     discounts of sequences of two tokens and more."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                row = b.slice(i, 1).to_pylist()[0]
-                c = Chunk(row, len(bits))
-                total = lambda x: np.add.reduceat(x, c.starts)
-                r1 = _parts(row["parts"], 1) // 2
-                logs, lower, r, own = np.log10(unigrams(r1))[c.tokens], unigrams(r1), r1, c.tokens
-                sums, places, uses, n_asked = [], [], [], 0
-                for m, (q, d_m) in enumerate(zip(c.longer, d, strict=True), 2):
-                    answer, seen = _parts(row["parts"], m), np.append(r, n_docs)  # a context's followers: its occurrences
-                    r, mine, ctx = answer // 2, answer % 2 == 1, q.before[q.at]
-                    known = r > 0
-                    p = np.where(known, discounted(r, d_m) / np.maximum(seen[ctx], 1), 1.0)
-                    num, den = (np.bincount(ctx[mine], weights=x[mine], minlength=len(q.contexts)) for x in (p, lower[own[q.at]]))
-                    back = np.flatnonzero(~known[q.own] & (seen[q.before] > 0))
-                    need = np.zeros(len(q.contexts), dtype=bool)
-                    need[ctx[mine]] = need[q.before[back]] = True
-                    asked = np.flatnonzero(need)
-                    asked = asked[np.argsort(q.contexts[asked])]
-                    place = np.zeros(len(q.contexts), dtype=np.int64)
-                    place[asked] = np.arange(n_asked, n_asked + len(asked))
-                    n_asked += len(asked)
-                    sums.append(_dealt(row["chunk"], m, bits[m - 2], q.contexts[asked], 2, [num[asked], den[asked]]))
-                    places.append(back)
-                    uses.append(place[q.before[back]])
-                    logs, lower, own = np.where(known[q.own], np.log10(p)[q.own], logs), p, q.own
-                back, used = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (places, uses))
-                docs = {"doc_ids": row["doc_ids"], "held": row["held"], "lengths": row["lengths"],
-                        "n_known": total((r1[c.tokens] > 0).astype(np.int64)).tolist(),
-                        "base": total(np.log10(unigrams.base(r1))[c.tokens]).tolist(), "partial": total(logs).tolist(),
-                        "n_back": total(np.bincount(back, minlength=len(c.tokens))).tolist()}
-                kinds = {"held": pa.bool_(), "base": pa.float64(), "partial": pa.float64()}
-                head = {"level": pa.array([0], pa.int32()), "bucket": pa.array([0], pa.int64()), "chunk": pa.array([row["chunk"]], pa.int64()),
-                        "n": pa.array([len(back)], pa.int64()),
-                        "keys": pa.array([pack(used[np.argsort(back, kind="stable")])], pa.binary()),
-                        "x0": pa.array([None], pa.binary()), "x1": pa.array([None], pa.binary())}
-                yield pa.record_batch(head | {k: pa.array([v], pa.list_(kinds.get(k, pa.int64()))) for k, v in docs.items()})
-                for out in sums:
-                    yield pa.record_batch({k: out.column(k) for k in head} | {
-                        k: pa.array([None] * out.num_rows, pa.list_(kinds.get(k, pa.int64()))) for k in docs})
-    return run
+    def scored(row: dict) -> Iterator[pa.RecordBatch]:
+        c = Chunk(row, len(bits))
+        total = lambda x: np.add.reduceat(x, c.starts)
+        r1 = _parts(row["parts"], 1) // 2
+        lower, r, own = unigrams(r1), r1, c.tokens
+        logs = np.log10(lower)[own]
+        sums, places, uses, n_asked = [], [], [], 0
+        for m, (q, d_m) in enumerate(zip(c.longer, d, strict=True), 2):
+            answer, seen = _parts(row["parts"], m), np.append(r, n_docs)  # a context's followers: its occurrences
+            r, mine, ctx = answer // 2, answer % 2 == 1, q.before[q.at]
+            known = r > 0
+            p = np.where(known, discounted(r, d_m) / np.maximum(seen[ctx], 1), 1.0)
+            num, den = (np.bincount(ctx[mine], weights=x[mine], minlength=len(q.contexts)) for x in (p, lower[own[q.at]]))
+            back = np.flatnonzero(~known[q.own] & (seen[q.before] > 0))
+            need = np.zeros(len(q.contexts), dtype=bool)
+            need[ctx[mine]] = need[q.before[back]] = True
+            asked = np.flatnonzero(need)
+            asked = asked[np.argsort(q.contexts[asked])]
+            place = np.zeros(len(q.contexts), dtype=np.int64)
+            place[asked] = np.arange(n_asked, n_asked + len(asked))
+            n_asked += len(asked)
+            sums.append(_dealt(row["chunk"], m, bits[m - 2], q.contexts[asked], 2, [num[asked], den[asked]]))
+            places.append(back)
+            uses.append(place[q.before[back]])
+            logs, lower, own = np.where(known[q.own], np.log10(p)[q.own], logs), p, q.own
+        back, used = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (places, uses))
+        docs = {"doc_ids": row["doc_ids"], "held": row["held"], "lengths": row["lengths"],
+                "n_known": total((r1[c.tokens] > 0).astype(np.int64)).tolist(),
+                "base": total(np.log10(unigrams.base(r1))[c.tokens]).tolist(), "partial": total(logs).tolist(),
+                "n_back": total(np.bincount(back, minlength=len(c.tokens))).tolist()}
+        kinds = {"held": pa.bool_(), "base": pa.float64(), "partial": pa.float64()}
+        head = {"level": pa.array([0], pa.int32()), "bucket": pa.array([0], pa.int64()), "chunk": pa.array([row["chunk"]], pa.int64()),
+                "n": pa.array([len(back)], pa.int64()),
+                "keys": pa.array([pack(used[np.argsort(back, kind="stable")])], pa.binary()),
+                "x0": pa.array([None], pa.binary()), "x1": pa.array([None], pa.binary())}
+        yield pa.record_batch(head | {k: pa.array([v], pa.list_(kinds.get(k, pa.int64()))) for k, v in docs.items()})
+        for out in sums:
+            yield pa.record_batch({k: out.column(k) for k in head} | {
+                k: pa.array([None] * out.num_rows, pa.list_(kinds.get(k, pa.int64()))) for k in docs})
+    return _by_chunk(scored)
 
 
 def _alphas(group: pd.DataFrame) -> pd.DataFrame:
@@ -293,20 +297,17 @@ def _alphas(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _scores(order: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                row = b.slice(i, 1).to_pylist()[0]
-                alphas = np.concatenate([np.zeros(0), *(_parts(row["parts"] or [], m, np.float64) for m in range(2, order + 1))])
-                back = np.concatenate([[0.0], np.cumsum(alphas[unpack(row["keys"], row["n"])])]) if row["n"] else np.zeros(1)
-                n_back = np.array(row["n_back"], dtype=np.int64)
-                ends = np.cumsum(n_back)
-                yield pa.record_batch({
-                    "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
-                    "n_tokens": pa.array(row["lengths"], pa.int64()), "n_known": pa.array(row["n_known"], pa.int64()),
-                    "base_score": pa.array(row["base"], pa.float64()),
-                    "score": pa.array(np.array(row["partial"]) + back[ends] - back[ends - n_back], pa.float64())})
-    return run
+    def summed(row: dict) -> Iterator[pa.RecordBatch]:
+        alphas = np.concatenate([np.zeros(0), *(_parts(row["parts"] or [], m, np.float64) for m in range(2, order + 1))])
+        back = np.concatenate([[0.0], np.cumsum(alphas[unpack(row["keys"], row["n"])])]) if row["n"] else np.zeros(1)
+        n_back = np.array(row["n_back"], dtype=np.int64)
+        ends = np.cumsum(n_back)
+        yield pa.record_batch({
+            "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
+            "n_tokens": pa.array(row["lengths"], pa.int64()), "n_known": pa.array(row["n_known"], pa.int64()),
+            "base_score": pa.array(row["base"], pa.float64()),
+            "score": pa.array(np.array(row["partial"]) + back[ends] - back[ends - n_back], pa.float64())})
+    return _by_chunk(summed)
 
 
 def _spread(df: DataFrame, n: int, *keys: str) -> DataFrame:
