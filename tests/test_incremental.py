@@ -155,3 +155,46 @@ def test_customers_with_any_order_are_done(spark, tmp_path):
     orders = [(1, 1, "F"), (2, 2, "O"), (3, 3, "P"), (4, 4, None), (5, None, "P")]
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
     assert [r.file_name for r in QUERIES["incremental_labels"](spark, str(tmp_path)).collect()] == ["c5.json"]
+
+
+def test_raw_files_are_listed_on_executors(spark, tmp_path):
+    """No file of the raw folder is named in a plan on the driver; texts, sizes and times are those of Spark's own reader."""
+    import gzip
+    files = {"x.json": b"[1]", "y.json": b"", "z.json.gz": gzip.compress(b"[2]"), "w.json": b"caf\xe9 \xff"}
+    for name, content in files.items():
+        folder = tmp_path / "raw/b 1" / name.split(".")[0] / "mapp_metadata"
+        folder.mkdir(parents=True)
+        for extra in ("_hidden.json", ".a.json"):
+            (folder / extra).write_bytes(b"never")
+        (folder / name).write_bytes(content)
+    (tmp_path / "raw/b 1/file").write_text("no clip")
+    (tmp_path / "raw/b 1/odd").mkdir()
+    (tmp_path / "raw/b 1/odd/mapp_metadata").write_text("no folder")
+    docs = telemetry_documents(spark, str(tmp_path / "raw"))
+    assert docs.inputFiles() and not any("/raw/" in f for f in docs.inputFiles())
+    own = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(str(tmp_path / "raw")).select(
+        F.regexp_extract("_metadata.file_path", "([^/]+)$", 1), "_metadata.file_modification_time", "_metadata.file_size",
+        F.hex(F.col("value").cast("binary"))).where(F.col("_metadata.file_path").contains("/mapp_metadata/")).collect()
+    got = docs.select(F.regexp_extract("filepath", "([^/]+)$", 1), "modified", "filesize_bytes", F.hex(F.col("src_json").cast("binary"))).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, own)) and len(got) == 3
+    (tmp_path / "raw/b 1/x/seq_mp4").mkdir()
+    (tmp_path / "raw/b 1/x/seq_mp4/x.mp4").write_bytes(b"")
+    own = spark.read.format("binaryFile").load(str(tmp_path / "raw/*/*/seq_mp4/*")).select("path", "modificationTime", "length", F.md5("content")).collect()
+    got = video_files(spark, str(tmp_path / "raw")).select("filepath", "modified", "filesize_bytes", "md5_hash").collect()
+    assert list(map(tuple, got)) == list(map(tuple, own))
+
+
+def test_rows_are_deduplicated_before_neighbours_fan_out(spark):
+    """Repeated rows and candidates: the rows are distinct, and none of the joined rows is aggregated, shuffled or sorted."""
+    from seqcat.operators import neighbours
+    from seqcat.plans.sequences import enrich
+    rows = [(f"s{i}", "b", f"/b/s{i}", "r", 5.0 * (i % 2), 150.0) for i in range(6)] * 2
+    df = spark.createDataFrame(rows, "sequence_id string, seq_metadata_batch_path string, seq_metadata_filepath string, src_record_key string, "
+                               "time_offset_s double, frame_count double")
+    out = enrich(df)
+    got = [(r.sequence_id, r.next_sequence_id, r.prev_sequence_id) for r in out.collect()]
+    want = neighbours(df.distinct(), length=F.lit(5)).collect()
+    assert len(got) == len(set(got)) == 18 and set(got) == {(r.sequence_id, r.next_sequence_id, r.prev_sequence_id) for r in want}
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
+    assert not any(x in line for line in plan[:first] for x in ("Aggregate", "Repartition", "Sort"))
