@@ -52,3 +52,21 @@ def test_hot_texts_over_several_tables(spark, hot_rows):
         keep = max((x for x in ids if x is not None), default=None)
         want.append((i, keep, len(ids), i == keep, hashlib.sha256((t or "").lower().encode()).hexdigest()))
     assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_every_two_wordings_of_a_passage_are_linked():
+    """Also where links to a third one join them already, and where the first windows of both are of one document."""
+    import numpy as np
+
+    from seqcat.llm.substrings import NEAR, linked
+    base = np.arange(1, 2 * NEAR + 2, dtype=np.uint32)
+
+    def wording(place):
+        t = base.copy()
+        t[place] = 10_000 + place
+        return t.tobytes()
+    pairs = lambda rid, tokens: {x[:2] for x in linked(rid, [0] * len(rid), [NEAR] * len(rid), tokens)}
+    assert pairs([1, 2, 3], [base.tobytes(), wording(3), wording(90)]) == {(1, 2), (1, 3), (2, 3)}
+    a, b = wording(3), wording(90)
+    found = {x[:2] for x in linked([1, 1, 2, 3], [0, 500, 0, 0], [NEAR, 500 + NEAR, NEAR, NEAR], [a, b, a, b])}
+    assert found == {(1, 2), (1, 3), (2, 3)}  # equal windows, and both wordings
