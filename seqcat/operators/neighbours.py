@@ -49,10 +49,10 @@ def _attach(base: DataFrame, cand: DataFrame, key: str, out: str) -> DataFrame:
 
 def neighbours(df: DataFrame, directions=("next", "prev"), *, id_col: str = "sequence_id",
                key: str = "src_record_key", offset: str = "time_offset_s", length=None,
-               fan_out: bool = True, distinct: bool = False) -> DataFrame:
+               fan_out: bool = True, distinct: bool = False, clips: DataFrame | None = None) -> DataFrame:
     """Attach ``<direction>_<id_col>`` for each direction; null when there is none.
 
-    Candidates of every direction come from the original rows.  ``length`` is a
+    Candidates of every direction come from the original rows, or from ``clips``.  ``length`` is a
     Column giving the clip length in seconds, evaluated on the candidate row
     (default: ``clip_seconds(max_frame_count)``).  ``fan_out=False`` attaches the
     smallest id and ``<direction>_<id_col>_count`` (0 when there is none) instead
@@ -66,7 +66,7 @@ def neighbours(df: DataFrame, directions=("next", "prev"), *, id_col: str = "seq
         if direction not in ("next", "prev"):
             raise ValueError("direction must be 'next' or 'prev'")
         name = f"{direction}_{id_col}"
-        cand = _candidates(df, direction, id_col, key, offset, length, name)
+        cand = _candidates(df if clips is None else clips, direction, id_col, key, offset, length, name)
         cand = cand.distinct() if distinct and fan_out else cand
         out = _attach(out, cand if fan_out else _one_per_slot(cand, name), key, name)
         if not fan_out:

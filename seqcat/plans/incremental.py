@@ -10,7 +10,8 @@ found by keys and only the batches concerned are worked out and written again:
   batch, every recording with a clip in a batch whose clips changed.
 
 Averages over all frames change with every run, so they are kept as sums per run and attached when a table is read; the
-stored rows of unchanged batches stay as they are.  ``catalogue_table`` reads a table; its rows equal those
+stored rows of unchanged batches stay as they are.  Neighbours are attached then, too: n next and m previous clips make n * m rows
+of a clip, which are stored nowhere.  ``catalogue_table`` reads a table; its rows equal those
 of one run over everything.
 """
 
@@ -32,7 +33,7 @@ from seqcat.plans.annotations import (
     rejected_annotations,
     sequences_with_labels,
 )
-from seqcat.plans.sequences import enrich, merge_catalogue, sequence_table, split
+from seqcat.plans.sequences import described, merge_catalogue, sequence_table, split, with_neighbours
 from seqcat.plans.telemetry import flat_frames, sequences_from_frames
 from seqcat.session import stored
 from seqcat.sources import (
@@ -140,7 +141,7 @@ def _rework_sequences(runs: Runs, seq: DataFrame, touched: DataFrame) -> DataFra
     merged = merge_catalogue(seq, runs.current("telemetry", _ID), runs.rows("stills"), runs.rows("videos"))
     merged = stored(_of(merged, read.withColumnRenamed("batch_path", "seq_metadata_batch_path"), "seq_metadata_batch_path"), "merged")
     batches = write.withColumnRenamed("batch_path", "batch")
-    rows = _of(split(enrich(merged)), batches, "batch")
+    rows = _of(split(described(merged)), batches, "batch")
     runs.replace("sequences", "batch", batches, rows, partition_by="batch", sort_by=("src_record_key", "time_offset_s"))
     return batches
 
@@ -156,6 +157,8 @@ def update_catalogue(spark: SparkSession, raw_root: str, label_folder: str, onto
     The ontology is read when labels are: a changed ontology file holds for the labels and catalogue rows written from then on.
     """
     runs = Runs(spark, out_root, full_refresh=full_refresh)
+    if runs.has("sequences") and not _one_row_a_clip(runs, "sequences"):  # of a former version, with neighbours
+        runs = Runs(spark, out_root, full_refresh=True)
     batches = _new_names(_names(spark, subfolders(spark, raw_root), "batch_path"), runs, "batches", "batch_path")
     names = _new_names(label_listing(spark, label_folder), runs, "documents", "file_name")
     report = {"run": runs.committed, "new_batches": batches, "new_documents": names, "rejected_annotations": 0, "malformed_documents": 0}
@@ -197,6 +200,17 @@ def _update(spark, runs: Runs, raw_root, label_folder, ontology_csv, batches, na
     return {"run": runs.run, "rejected_annotations": rejected, "malformed_documents": malformed + bad_labels}
 
 
+def _one_row_a_clip(runs: Runs, table: str) -> bool:
+    return "max_frame_count" in runs.schemas[table].fieldNames()
+
+
+def _fanned_out(runs: Runs, df: DataFrame) -> DataFrame:
+    """The rows of a table with their neighbours, dealt to all tasks before they fan out."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    clips = runs.current("sequences", "batch").select(_ID, "src_record_key", "time_offset_s", "max_frame_count")
+    return with_neighbours(df.repartition(tasks, _ID), clips)
+
+
 def _labels(spark: SparkSession, runs: Runs, ontology_csv: str) -> DataFrame:
     return label_table(bbox_union(runs.current("label_rows", _ID)), dim_read(spark, ontology_csv, schemas.ONTOLOGY))
 
@@ -224,4 +238,5 @@ def catalogue_table(spark: SparkSession, out_root: str, table: str, ontology_csv
     df = runs.current(table, _ID if table == "telemetry" else "batch")
     # a sequence with telemetry has a quality; the roll-up leaves out zeros
     known = F.col("metadata_quality").isNotNull()
-    return df.withColumns({k: F.when(known, F.lit(None if v == 0 else v).cast("double")) for k, v in _averages(runs).items()})
+    df = df.withColumns({k: F.when(known, F.lit(None if v == 0 else v).cast("double")) for k, v in _averages(runs).items()})
+    return _fanned_out(runs, df) if table != "telemetry" and _one_row_a_clip(runs, table) else df

@@ -1,5 +1,7 @@
 """Plan B: catalogues -> merged sequences -> enriched -> split."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,19 +50,35 @@ def merge_catalogue(seq: DataFrame, parsed_frames: DataFrame, stills: DataFrame,
     return source_allowlist(df, "data_source", allowed_sources)
 
 
-def enrich(df: DataFrame) -> DataFrame:
-    """Batch, maritime flag, mission type, line of effort, neighbouring clips; deduplicated and clustered by recording.
-
-    The neighbours come last: n next and m previous candidates make n * m rows of a clip, so rows and
-    candidates are deduplicated and clustered before, and the fan-out is neither shuffled nor sorted."""
+def described(df: DataFrame) -> DataFrame:
+    """Batch, maritime flag, mission type, line of effort and the batch's ``max_frame_count``; deduplicated."""
     df = df.withColumn("batch", F.col("seq_metadata_batch_path"))
     df = df.withColumn("is_maritime", keyword_flag("seq_metadata_filepath", "src_record_key"))
     df = df.withColumn("mission_type", classify_first_match(C.MISSION_TYPE_RULES, C.MISSION_TYPE_DEFAULT))
     df = df.withColumn("loe", binary_class("mission_type"))
-    df = max_per_group(df, "batch", "frame_count", "max_frame_count")
+    return distinct_rows(max_per_group(df, "batch", "frame_count", "max_frame_count"))
+
+
+def with_neighbours(df: DataFrame, clips: DataFrame | None = None) -> DataFrame:
+    """``described`` rows with their neighbouring clips, in place of ``max_frame_count``.  ``clips`` has the rows that candidates come
+    from, if these aren't ``df`` itself."""
+    at = df.columns.index("max_frame_count")
+    names = ["next_sequence_id", "prev_sequence_id"]
+    out = neighbours(df, length=clip_seconds(F.col("max_frame_count")), distinct=True, clips=clips)
+    return out.select(*df.columns[:at], *names, *df.columns[at + 1:])
+
+
+def enrich(df: DataFrame, finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Batch, maritime flag, mission type, line of effort, neighbouring clips; deduplicated and clustered by recording.
+
+    The neighbours come last: n next and m previous candidates make n * m rows of a clip, so rows and
+    candidates are deduplicated and clustered before, and the fan-out is neither shuffled nor sorted.  ``finish``, such as ``split``,
+    adds columns that need no neighbours: once a clip, before the fan-out."""
+    df = described(df)
+    df = df if finish is None else finish(df)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not merged by size: few rows may fan out to many
-    df = cluster_by_key(distinct_rows(df), sort_by=("src_record_key", "time_offset_s", "sequence_id"), num_partitions=tasks)
-    return neighbours(df, length=clip_seconds(F.col("max_frame_count")), distinct=True).drop("max_frame_count")
+    df = cluster_by_key(df, sort_by=("src_record_key", "time_offset_s", "sequence_id"), num_partitions=tasks)
+    return with_neighbours(df)
 
 
 def split(df: DataFrame, mode: str = "murmur3") -> DataFrame:
