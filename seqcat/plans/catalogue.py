@@ -65,7 +65,7 @@ def build_catalogue(spark: SparkSession, raw_root: str, label_folder: str, ontol
     stage_write(merged, paths["merged"])
     stage_write(crowded_slots(stage_read(spark, paths["merged"])), paths["crowded_slots"])
     # batch folders (partition pruning); rows inside keep the recording/offset order of the clustering
-    sequences = split(enrich(stage_read(spark, paths["merged"])))
+    sequences = enrich(stage_read(spark, paths["merged"]), split)
     stage_write(sequences, paths["sequences"], partition_by="batch", sort_by=("src_record_key", "time_offset_s"))
 
     ontology = dim_read(spark, ontology_csv, schemas.ONTOLOGY)
